@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -64,7 +63,7 @@ def birch(data: DataFrame, k: int, threshold: float = 0.01, seed: int = 42) -> D
         placed.select("cell", "block", "id", "vec")
         .groupBy("cell", "block")
         .applyInPandas(
-            partial(_absorb, threshold=threshold),
+            lambda pdf: _absorb(pdf, threshold),
             f"id {id_type}, vec array<double>, cell int, block int, micro int",
         ),
         "micro",

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
@@ -10,6 +14,7 @@ from presswork.functions.maths import hash_key, hash_unit, poisson_draw
 from presswork.learners.relevance import split
 from presswork.operators.categories import indicator
 from presswork.operators.neighbors import knn_join, points_of, top_k
+from presswork.session import materialize
 
 
 def knn(data: DataFrame, names: list[str], test_fold: int | None = 2, k: int = 5) -> DataFrame:
@@ -39,7 +44,6 @@ def _vote(near: DataFrame, train: DataFrame, test: DataFrame, names: list[str])
 
 def feature_draw(member: int, n_features: int, size: int, seed: int = 42) -> list[int]:
     """The features of one member: the ``size`` lowest hashes, without replacement."""
-    import hashlib
 
     def key(i: int) -> str:
         return hashlib.md5(f"feature:{member}:{i}:{seed}".encode()).hexdigest()
@@ -55,6 +59,7 @@ def bagging_knn(
     k: int = 5,
     max_features: int = 10,
     seed: int = 42,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Mean vote of members that see resampled rows and ten features each.
 
@@ -64,8 +69,8 @@ def bagging_knn(
     """
     train, test = split(data, test_fold)
     n_features = len(data.select("features").first()[0])
-    shares = None
-    for member in range(members):
+
+    def member_votes(member: int) -> DataFrame:
         chosen = feature_draw(member, n_features, min(max_features, n_features), seed)
 
         def view(df: DataFrame) -> DataFrame:
@@ -82,10 +87,13 @@ def bagging_knn(
             "distance",
             F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)))).alias("copy"),
         )
-        places = top_k(repeated, k)
-        votes = _vote(places, train, test, names)
-        shares = votes if shares is None else shares.unionByName(votes)
+        return materialize(_vote(top_k(repeated, k), train, test, names), "votes")
+
+    # Members are independent; a few driver threads keep the cluster busy.
+    with ThreadPoolExecutor(min(parallelism, members)) as pool:
+        shares = list(pool.map(member_votes, range(members)))
+    votes = reduce(DataFrame.unionByName, shares)
     mean = F.avg("score")
-    return shares.groupBy("doc_id", "category_idx").agg(
+    return votes.groupBy("doc_id", "category_idx").agg(
         F.max("label").alias("label"), mean.alias("score")
     ).withColumn("prediction", (F.col("score") > 0.5).cast("double"))

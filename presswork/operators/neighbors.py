@@ -140,7 +140,9 @@ def block_join(queries: DataFrame, points: DataFrame, kernel, schema: str, block
         part = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         placed = df.join(F.broadcast(grid), "cell")
-        return placed.select(*df.columns, part.alias(own_name), copies.alias(other_name))
+        # Fresh aliases: both sides may stem from the same stored table.
+        kept = [F.col(c).alias(c) for c in df.columns]
+        return placed.select(*kept, part.alias(own_name), copies.alias(other_name))
 
     left = cut(queries, "nq", "np", "qb", "pb")
     right = cut(points, "np", "nq", "pb", "qb")
