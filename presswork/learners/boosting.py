@@ -28,8 +28,8 @@ def adaboost(
 ) -> DataFrame:
     """Boosted stumps for each category.
 
-    A fitted stump is one ``CASE`` on one feature. The row weight of a round is
-    the exponential of the sum of the stumps so far, so it is a column
+    A fitted stump is one comparison on one feature. The row weight of a round
+    is the exponential of the sum of the stumps so far, so it is a column
     expression on the cached rows and no weight table is carried along.
     """
     train, test = split(data, test_fold)
@@ -48,22 +48,32 @@ def adaboost(
             F.lit(i).alias("category_idx"),
             has_category(name).alias("label"),
             _margin(stumps).alias("score"),
-            (_margin(stumps) > 0).cast("double").alias("prediction"),
         )
         for i, (name, stumps) in enumerate(zip(names, ensembles))
     ]
-    return scored.select("doc_id", F.inline(F.array(*lines)))
+    return scored.select("doc_id", F.inline(F.array(*lines))).withColumn(
+        "prediction", (F.col("score") > 0).cast("double")
+    )
 
 
 def _margin(stumps: list[tuple]) -> Column:
-    """Sum of half log odds over the stumps."""
-    total = F.lit(0.0)
-    for feature, cut, low, high in stumps:
-        if feature is None:
-            total = total + F.lit(low)
-        else:
-            total = total + F.when(F.get("x", F.lit(feature)) <= cut, low).otherwise(high)
-    return total
+    """Sum of half log odds over the stumps, folded over one array literal.
+
+    The array is data, not code: a CASE per stump would be compiled anew in
+    every round and outgrow the size limit of a generated method.
+    """
+    if not stumps:
+        return F.lit(0.0)
+    rows = ", ".join(
+        f"named_struct('f', {f}, 'cut', {cut!r}D, 'low', {low!r}D, 'high', {high!r}D)"
+        for f, cut, low, high in stumps
+    )
+    return F.aggregate(
+        F.expr(f"array({rows})"),
+        F.lit(0.0),
+        lambda total, s: total
+        + F.when(F.get("x", s["f"]) <= s["cut"], s["low"]).otherwise(s["high"]),
+    )
 
 
 def _boost(rows: DataFrame, category: str, rounds: int) -> list[tuple]:
@@ -79,9 +89,10 @@ def _boost(rows: DataFrame, category: str, rounds: int) -> list[tuple]:
         exponent = F.greatest(F.least(-sign * _margin(stumps), F.lit(300.0)), F.lit(-300.0))
         weighted = rows.select("features", label.alias("label"), F.exp(exponent).alias("w"))
         stump = _as_case(tree.fit(weighted))
-        if stump[0] is not None or not stumps:
+        constant = stump[2] == stump[3]
+        if not constant or not stumps:
             stumps.append(stump)
-        if stump[0] is None:
+        if constant:
             break
         if min(abs(stump[2]), abs(stump[3])) >= pure - 1e-9 and stump[2] * stump[3] < 0:
             break
@@ -99,7 +110,7 @@ def _as_case(model) -> tuple:
 
     if split_text is None:
         constant = half_odds(np.zeros(size))
-        return None, None, constant, constant
+        return 0, 0.0, constant, constant
     feature, cut = int(split_text.group(1)), float(split_text.group(2))
     low, high = np.zeros(size), np.zeros(size)
     low[feature] = cut
