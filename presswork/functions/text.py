@@ -80,8 +80,7 @@ def split_contractions(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Word tokens of already stripped text."""
-    trimmed = F.regexp_replace(split_contractions(text), r"^\s+|\s+$", "")
-    return F.filter(F.split(trimmed, r"\s+"), lambda w: w != "")
+    return F.filter(F.split(split_contractions(text), r"\s+"), lambda w: w != "")
 
 
 def tokens(text: Column) -> Column:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from presswork.learners.moments import class_moments, score_rows
 from presswork.learners.relevance import split
 from presswork.operators.categories import indicator
+from presswork.operators.vectors import vector_sums
+from presswork.session import materialize
 
 NEVER = -1e300  # score of a category without positive training rows
 
@@ -47,17 +49,15 @@ def term_class_sums(weights: DataFrame, labels: DataFrame, n_labels: int) -> Dat
     ``y`` per document. One vector sum per term; partial aggregation keeps
     frequent terms from meeting in one task.
     """
-    y = array_to_vector(F.concat(F.array(F.lit(1.0)), F.col("y")))
-    joined = weights.join(labels.select("doc_id", y.alias("y")), "doc_id")
-    # A zero weight adds nothing, and Summarizer needs positive weights to count.
-    sums = joined.where(F.col("weight") > 0).groupBy("term_idx").agg(
-        Summarizer.metrics("sum").summary(F.col("y"), F.col("weight")).alias("s")
-    )
-    values = vector_to_array(F.col("s.sum"))
+    marks = F.concat(F.array(F.lit(1.0)), F.col("y")).alias("y")
+    joined = weights.join(labels.select("doc_id", marks), "doc_id")
+    # A zero weight adds nothing.
+    positive = joined.where(F.col("weight") > 0)
+    sums = vector_sums(positive, ["term_idx"], "y", n_labels + 1, "weight")
     return sums.select(
         "term_idx",
-        F.get(values, 0).alias("total"),
-        F.slice(values, 2, n_labels).alias("inside"),
+        F.get("y", F.lit(0)).alias("total"),
+        F.slice("y", 2, n_labels).alias("inside"),
     )
 
 
@@ -82,26 +82,27 @@ def multinomial_nb(
     sums = term_class_sums(
         weights.where(~is_test).drop("fold"), train_docs, c
     )
-    per_term = dictionary.select("term_idx").join(sums, "term_idx", "left").select(
-        "term_idx",
-        F.coalesce("total", F.lit(0.0)).alias("total"),
-        F.coalesce("inside", F.array_repeat(F.lit(0.0), c)).alias("inside"),
+    per_term = materialize(
+        dictionary.select("term_idx").join(sums, "term_idx", "left").select(
+            "term_idx",
+            F.coalesce("total", F.lit(0.0)).alias("total"),
+            F.coalesce("inside", F.array_repeat(F.lit(0.0), c)).alias("inside"),
+        ),
+        "term_sums",
     )
     # ln P(t|1) - ln P(t|0) without the class totals, which only shift documents.
     contrast = F.transform(
         "inside",
         lambda w: F.log(w + alpha) - F.log(F.greatest(F.col("total") - w, F.lit(0.0)) + alpha),
     )
-    model = per_term.select("term_idx", array_to_vector(contrast).alias("contrast"))
+    model = per_term.select("term_idx", contrast.alias("s"))
     priors = _class_totals(per_term, train_docs, c, alpha)
 
     test_docs = docs.where(is_test).select("doc_id", y.alias("y"))
     test = weights.where(is_test & (F.col("weight") > 0)).drop("fold").join(model, "term_idx")
-    summed = test.groupBy("doc_id").agg(
-        Summarizer.metrics("sum").summary(F.col("contrast"), F.col("weight")).alias("s"),
-        F.sum("weight").alias("mass"),
+    known = vector_sums(
+        test, ["doc_id"], "s", c, "weight", extra=(F.sum("weight").alias("mass"),)
     )
-    known = summed.select("doc_id", vector_to_array(F.col("s.sum")).alias("s"), "mass")
     rows = test_docs.join(known, "doc_id", "left").select(
         "doc_id",
         "y",

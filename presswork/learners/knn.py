@@ -6,14 +6,14 @@ import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from presswork.functions.maths import hash_key, hash_unit, poisson_draw
 from presswork.learners.relevance import split
 from presswork.operators.categories import indicator
 from presswork.operators.neighbors import knn_join, points_of, top_k
+from presswork.operators.vectors import vector_sums
 from presswork.session import materialize
 
 
@@ -26,10 +26,13 @@ def knn(data: DataFrame, names: list[str], test_fold: int | None = 2, k: int = 5
 
 def _vote(near: DataFrame, train: DataFrame, test: DataFrame, names: list[str]) -> DataFrame:
     """Average the neighbours' label arrays, element by element."""
-    y = array_to_vector(indicator(names))
-    labels = train.select(F.col("doc_id").alias("neighbor"), y.alias("y"))
-    votes = near.join(labels, "neighbor").groupBy("id").agg(Summarizer.mean(F.col("y")).alias("s"))
-    scored = votes.select(F.col("id").alias("doc_id"), vector_to_array("s").alias("s"))
+    labels = train.select(F.col("doc_id").alias("neighbor"), indicator(names).alias("y"))
+    votes = vector_sums(
+        near.join(labels, "neighbor"), ["id"], "y", len(names), extra=(F.count("*").alias("n"),)
+    )
+    scored = votes.select(
+        F.col("id").alias("doc_id"), F.transform("y", lambda v: v / F.col("n")).alias("s")
+    )
     zipped = F.arrays_zip(indicator(names).alias("label"), F.col("s").alias("score"))
     return test.join(scored, "doc_id").select(
         "doc_id", F.posexplode(zipped).alias("category_idx", "l")
