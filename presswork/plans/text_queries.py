@@ -468,13 +468,12 @@ def tfidf(spark, sf_dir):
     f"""WITH {sp.tfidf(MIN_CF)} SELECT doc_id, CAST(rank AS INTEGER) AS rank, term,
         round(weight, 6) AS weight FROM (
             SELECT *, row_number() OVER (
-                PARTITION BY doc_id ORDER BY round(weight, 9) DESC, term_idx) AS rank FROM weights)
+                PARTITION BY doc_id ORDER BY weight DESC, term_idx) AS rank FROM weights)
         WHERE rank <= 5""",
 )
 def top_terms(spark, sf_dir):
     weights, dictionary = weighted(spark, sf_dir)
-    rounded = weights.withColumn("weight", F.round("weight", 9))
-    top = bags.top_terms(rounded, dictionary, 5)
+    top = bags.top_terms(weights, dictionary, 5)
     return top.select("doc_id", "rank", "term", F.round("weight", 6).alias("weight"))
 
 
