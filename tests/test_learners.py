@@ -117,3 +117,17 @@ def test_compare_classifiers(separable):
     out = compare_classifiers({"a": gaussian_nb, "b": linear_discriminant}, separable, NAMES, 2)
     assert out.count() == 6
     assert {r["model"] for r in out.collect()} == {"a", "b"}
+
+
+def test_logistic_regression_minimises_the_summed_loss(separable):
+    """The gradient of sum(log loss) + |w|^2 / 2 vanishes; the intercept is free."""
+    x, cats = as_numpy(separable)
+    y = np.array(["left" in c for c in cats], dtype=float)
+    labelled = separable.select(
+        "features", F.array_contains("categories", "left").cast("double").alias("label")
+    )
+    model = estimators.logistic_regression(len(x), 4).fit(labelled)
+    w, b = model.coefficients.toArray(), model.intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    np.testing.assert_allclose(x.T @ (p - y) + w, 0, atol=0.01)
+    np.testing.assert_allclose((p - y).sum(), 0, atol=0.01)

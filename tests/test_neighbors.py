@@ -64,6 +64,13 @@ def test_knn_plan_has_no_cross_join(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_copies_are_limited_before_the_shuffle(spark):
+    x = table(spark, np.ones((50, 2)))
+    plan = neighbors.first_of_equal(x, 3)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange") :]
+    assert "WindowGroupLimit" in below and "Partial" in below
+
+
 def brute_dbscan(x, eps, m):
     inside = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) <= eps
     core = inside.sum(1) >= m
