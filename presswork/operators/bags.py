@@ -87,40 +87,44 @@ def long_bags(wide: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ())
     )
 
 
+def word_counts(docs: DataFrame, text: str = "full_text", stopwords=None) -> DataFrame:
+    """One row per document: ``words array<struct<term, tf>>`` as written, unstemmed."""
+    stop = tx.default_stopwords() if stopwords is None else tuple(stopwords)
+    kept = F.filter(tx.tokens(F.col(text)), lambda w: tx.keep_word(w, stop))
+    others = [c for c in docs.columns if c not in (text, "words")]
+    return docs.select(
+        *others, F.inline_outer(F.array(F.struct(tx.count_words(kept).alias("words"))))
+    )
+
+
 def joined_bags(
-    docs: DataFrame,
+    counted: DataFrame,
     lexicon: DataFrame | None = None,
     stems: DataFrame | None = None,
-    text: str = "full_text",
     key: str = "doc_id",
     stopwords=None,
 ) -> DataFrame:
-    """Long bags when the lexicon or the stems come as tables.
+    """Long bags from ``word_counts`` when the lexicon or the stems come as tables.
 
-    Words are counted inside the row first, so the joins see each distinct word
-    of a document once. The joins may broadcast or shuffle; afterwards a single
-    exchange on the document serves both the regrouping by term and the length.
+    The joins see each distinct word of a document once. They may broadcast or
+    shuffle; afterwards a single exchange on the document serves both the
+    regrouping by term and the length.
     """
     stop = tx.default_stopwords() if stopwords is None else tuple(stopwords)
-    kept = F.filter(tx.tokens(F.col(text)), lambda w: tx.keep_word(w, stop))
-    counted = (
-        docs.select(key, F.inline_outer(tx.count_words(kept)))
+    words = (
+        counted.select(key, F.inline_outer("words"))
         .where(F.col("term").isNotNull())
         .withColumnRenamed("term", "word")
     )
     if lexicon is not None:
-        counted = lexicon_filter(counted, lexicon)
-    lowered = counted.withColumn("word", F.lower("word"))
+        words = lexicon_filter(words, lexicon)
+    lowered = words.withColumn("word", F.lower("word"))
     if stems is None:
         terms = lowered.withColumnRenamed("word", "term")
     else:
         terms = apply_stems(lowered, stems)
     terms = terms.where(tx.keep_word(F.col("term"), stop))
-    bags = (
-        terms.repartition(key)
-        .groupBy(key, "term")
-        .agg(F.sum("tf").alias("tf"))
-    )
+    bags = terms.repartition(key).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
     return bags.withColumn("doc_len", F.sum("tf").over(W.partitionBy(key)))
 
 

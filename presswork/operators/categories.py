@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from presswork.functions.maths import hash_key, let
 from presswork.operators.ranking import dense_index
+from presswork.session import materialize
 
 # Labels live in every row of the indicator form, so their number is bounded.
 MAX_LABELS = 10_000
@@ -21,7 +22,12 @@ def category_counts(docs: DataFrame) -> DataFrame:
 
 
 def select_categories(counts: DataFrame, min_count: int = 20) -> DataFrame:
-    """``n >= min_count`` get an index, most frequent first; the rest get null."""
+    """``n >= min_count`` get an index, most frequent first; the rest get null.
+
+    The counts (one row per category) are stored first: they are used twice and
+    may hang on a scan of all articles.
+    """
+    counts = materialize(counts, "counts")
     chosen = dense_index(
         counts.where(F.col("n") >= min_count), [F.desc("n"), F.asc("category")], "category_idx"
     )

@@ -38,7 +38,8 @@ def preprocess(
 ) -> Stages:
     """``(doc_id, categories, full_text)`` to folds of sparse TF-IDF rows.
 
-    Texts are read once, for the bags; every later step reads a stored stage.
+    Articles are parsed and tokenised in one pass, which stores each document's
+    counts and categories. Every later step reads columns of that stage.
     Documents whose words are all unknown keep an empty row.
     """
     spark = docs.sparkSession
@@ -47,17 +48,18 @@ def preprocess(
         write_stage(df, f"{out}/{name}", partition_by)
         return read_stage(spark, f"{out}/{name}", None if partition_by else df.schema)
 
+    texts = docs.select("doc_id", "categories", "full_text")
+    if lexicon is None and stems is None:
+        wide = stage(bags.wide_bags(texts, stopwords=stopwords), "bag")
+        bag = bags.long_bags(wide)
+    else:
+        wide = stage(bags.word_counts(texts, stopwords=stopwords), "words")
+        bag = stage(bags.joined_bags(wide, lexicon, stems, stopwords=stopwords), "bag")
     labels = stage(
-        folds.assign_folds(docs.select("doc_id", "categories"), n_folds, seed), "docs"
+        folds.assign_folds(wide.select("doc_id", "categories"), n_folds, seed), "docs"
     )
     counts = categories.category_counts(labels)
     chosen = stage(categories.select_categories(counts, min_category), "categories")
-    if lexicon is None and stems is None:
-        long = bags.long_bags(bags.wide_bags(docs, stopwords=stopwords))
-        long = long.select("doc_id", "term", "tf", "doc_len")
-    else:
-        long = bags.joined_bags(docs, lexicon, stems, stopwords=stopwords)
-    bag = stage(long, "bag")
     dictionary = stage(bags.term_index(bags.word_dictionary(bag, min_cf)), "dictionary")
     weights = bags.tfidf_rows(bags.tfidf(bag, dictionary, labels))
     rows = labels.join(weights, "doc_id", "left").select(

@@ -403,9 +403,8 @@ def bag_with_lexicon(spark, sf_dir):
     words = lexicon(spark, sf_dir)
     lowered = words.select(F.lower("word").alias("word"))
     stems = bags.stem_table(lowered)
-    return bags.joined_bags(tables.docs(spark, sf_dir), words, stems).select(
-        "doc_id", "term", "tf", "doc_len"
-    )
+    counted = bags.word_counts(tables.docs(spark, sf_dir))
+    return bags.joined_bags(counted, words, stems).select("doc_id", "term", "tf", "doc_len")
 
 
 @query(

@@ -16,7 +16,7 @@ def write_stage(df: DataFrame, path: str, partition_by: str | None = None) -> No
     writer.parquet(path)
 
 
-def read_stage(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_stage(spark: SparkSession, path: str, schema=None) -> DataFrame:
     reader = spark.read
     if schema:
         reader = reader.schema(schema)

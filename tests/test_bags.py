@@ -38,7 +38,7 @@ def test_joined_bags_equal_row_bags_when_everything_is_known(spark):
     tokens = bags.token_table(docs(spark))
     lexicon = tokens.select("word").distinct()
     stems = bags.stem_table(lexicon.select(F.lower("word").alias("word")))
-    joined = bags.joined_bags(docs(spark), lexicon, stems)
+    joined = bags.joined_bags(bags.word_counts(docs(spark)), lexicon, stems)
     plain = bags.long_bags(bags.wide_bags(docs(spark)))
     columns = ["doc_id", "term", "tf", "doc_len"]
     assert sorted(joined.select(columns).collect()) == sorted(plain.select(columns).collect())
@@ -46,7 +46,7 @@ def test_joined_bags_equal_row_bags_when_everything_is_known(spark):
 
 def test_lexicon_is_case_sensitive(spark):
     lexicon = spark.createDataFrame([("cats",), ("dogs",)], "word string")
-    out = bags.joined_bags(docs(spark), lexicon)
+    out = bags.joined_bags(bags.word_counts(docs(spark)), lexicon)
     assert sorted((r["doc_id"], r["term"], r["tf"], r["doc_len"]) for r in out.collect()) == [
         ("1", "cats", 1, 2), ("1", "dogs", 1, 2), ("2", "dogs", 1, 1),
     ]

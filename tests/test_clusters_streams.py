@@ -66,3 +66,25 @@ def test_replayed_documents_are_dropped(spark, tmp_path):
         incremental.stream_word_counts(incremental.unique_docs(stream))
     )
     assert [(r["term"], r["df"]) for r in got.collect()] == [("apple", 1)]
+
+
+def test_preprocess_with_lexicon_and_stems(spark, tmp_path):
+    from presswork.plans import flows
+
+    rows = [
+        ("1", ["a", "b"], "Cats chase unknownword cats"),
+        ("2", ["a"], "dogs chase"),
+        ("3", ["a"], "unknownword"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id string, categories array<string>, full_text string")
+    lexicon = spark.createDataFrame([(w,) for w in ("Cats", "cats", "chase", "dogs")], "word string")
+    stems = bags.stem_table(lexicon.select(F.lower("word").alias("word")))
+    stages = flows.preprocess(
+        docs, str(tmp_path / "s"), min_category=2, min_cf=1, n_folds=2, lexicon=lexicon, stems=stems
+    )
+    got = {r["doc_id"]: r for r in stages.rows.collect()}
+    assert sorted(got) == ["1", "2", "3"] and got["3"]["indices"] == []
+    assert [r["category"] for r in stages.categories.where("selected").collect()] == ["a"]
+    np.testing.assert_allclose(
+        got["1"]["weights"], [2 / 3 * np.log(3 / 1), 1 / 3 * np.log(3 / 2)]
+    )
