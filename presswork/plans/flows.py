@@ -74,11 +74,9 @@ def preprocess(
 
 def reduced_points(stages: Stages, dims: int = 100, test_fold: int | None = 2) -> DataFrame:
     """All folds projected on the principal components of the training folds."""
-    train = stages.rows if test_fold is None else folds.train_folds(stages.rows, test_fold)
-    model = reduce.sparse_pca(train, stages.dictionary.count(), dims)
-    return materialize(
-        reduce.project(stages.rows, model, ("doc_id", "fold", "categories")), "reduced"
-    )
+    keep = ("doc_id", "fold", "categories")
+    size = stages.dictionary.count()
+    return materialize(reduce.reduce_rows(stages.rows, size, dims, test_fold, keep), "reduced")
 
 
 def train_and_report(points: DataFrame, stages: Stages, learner, test_fold: int = 2) -> DataFrame:

@@ -136,10 +136,8 @@ def sparse_rows(spark, sf_dir) -> tuple[DataFrame, int]:
 def reduced_docs(spark, sf_dir, k: int = 20) -> DataFrame:
     """Documents as k principal coordinates of their TF-IDF rows."""
     rows, size = sparse_rows(spark, sf_dir)
-    model = reduce.sparse_pca(train_folds(rows, TEST_FOLD), size, k)
-    return materialize(
-        reduce.project(rows, model, ("doc_id", "fold", "categories")), "reduced"
-    )
+    keep = ("doc_id", "fold", "categories")
+    return materialize(reduce.reduce_rows(rows, size, k, TEST_FOLD, keep), "reduced")
 
 
 @query("pca_tfidf")
@@ -268,6 +266,22 @@ def multinomial(spark, sf_dir):
     return rounded(multinomial_nb(materialize(weights, "weights"), docs, dictionary, LANGS, TEST_FOLD))
 
 
+@query(
+    "pca_rotation",
+    f"""WITH {sp.LONG_POINTS}, means AS (
+            SELECT dim, avg(v) AS m FROM long_points WHERE fold <> {TEST_FOLD} GROUP BY dim)
+        SELECT doc_id, round(sum((v - m) ** 2), 6) AS norm
+        FROM long_points JOIN means USING (dim) GROUP BY doc_id""",
+)
+def pca_rotation(spark, sf_dir):
+    """With every component kept, distances from the training mean are unchanged."""
+    data = tables.points(spark, sf_dir)
+    size = len(data.first()["features"])
+    x = vector_to_array("features")
+    norm = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v * v)
+    return rounded(reduce.pca_reduce(data, size, TEST_FOLD).select("doc_id", norm.alias("norm")))
+
+
 @query("linear_discriminant")
 def discriminant(spark, sf_dir):
     return linear_discriminant(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)

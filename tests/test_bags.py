@@ -91,17 +91,14 @@ def test_sample_and_limit(spark):
     assert sorted(kept) == ["0", "1", "10"]
 
 
-def test_bucketed_stage_joins_without_shuffle(spark, tmp_path):
+def test_bucketed_stage_groups_without_shuffle(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("doc_id"), "id")
-    df.createOrReplaceTempView("src")
-    spark.sql("DROP TABLE IF EXISTS stage_a")
-    df.write.mode("overwrite").option("path", str(tmp_path / "a")).bucketBy(4, "doc_id").sortBy(
-        "doc_id"
-    ).saveAsTable("stage_a")
-    a = spark.table("stage_a")
-    plan = plan_of(a.groupBy("doc_id").count())
-    assert "Exchange" not in plan
-    spark.sql("DROP TABLE stage_a")
+    try:
+        stages.write_stage_table(df, "stage_a", 4)
+        plan = plan_of(spark.table("stage_a").groupBy("doc_id").count())
+        assert "Exchange" not in plan
+    finally:
+        spark.sql("DROP TABLE IF EXISTS stage_a")
 
 
 def test_hot_word_counts(spark):
