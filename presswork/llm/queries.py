@@ -93,12 +93,12 @@ WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 ORACLE = {
     "op3_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
+                   list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
             WHERE q.vec_id % 50 = 0
         ), ranked AS (
@@ -125,10 +125,10 @@ ORACLE = {
     """,
     "op5_ngram_jaccard": f"""
         WITH RECURSIVE words AS (
-            SELECT doc_id, list_transform({WORDS}, w -> {LOWER.format("w")}) AS w FROM documents
+            SELECT doc_id, list_transform({WORDS}, lambda w: {LOWER.format("w")}) AS w FROM documents
         ), sets AS (
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
             FROM words
         ), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
         ), links AS (
