@@ -123,11 +123,15 @@ def bucket_weights(
     """
     ids = F.broadcast(trusted.select(F.col("doc_id").alias("__t"), F.lit(1).alias("__in")))
     known = docs.select("doc_id", text).join(ids, F.col("doc_id") == F.col("__t"), "left")
-    words = known.select(
-        F.coalesce("__in", F.lit(0)).alias("good"), F.explode(word_array(F.col(text))).alias("w")
-    )
+    words = known.select(F.coalesce("__in", F.lit(0)).alias("good"), word_array(F.col(text)).alias("w"))
+    following = F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1))).alias("b")
+    pairs = words.select("good", F.inline(F.arrays_zip(F.col("w").alias("a"), following)))
+    hashed = pairs.select("good", F.xxhash64("a").alias("a"), F.when(F.col("b").isNotNull(), F.xxhash64("b")).alias("b"))
+    both = F.array(F.col("a"), F.when(F.col("b").isNotNull(), F.xxhash64("a", "b")))
     counts = (
-        words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(buckets - 1)).alias("bucket"))
+        hashed.select("good", F.explode(both).alias("h"))
+        .where("h is not null")
+        .groupBy(F.col("h").bitwiseAND(F.lit(buckets - 1)).alias("bucket"))
         .agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     )
     counts = materialize(counts, "bucket-counts")
@@ -162,16 +166,17 @@ def with_quality(
     """Add a struct ``out`` of statistics, the mean log ratio and the verdict ``kept``."""
     vector = _literal(bucket_weights(docs, trusted, text, buckets))
 
-    step = with_base(docs, text).withColumn(
+    step = with_base(docs, text)
+    step = step.withColumn("__q_pairs", _windows(F.col("__q_hashes"), F.col("__q_n"), 2)).withColumn(
         "__q_sum",
         F.aggregate(
-            "__q_hashes",
+            F.concat("__q_hashes", "__q_pairs"),
             F.lit(0.0),
             lambda total, h: total + F.get(vector, h.bitwiseAND(F.lit(buckets - 1)).cast("int")),
         ),
     )
     n = F.col("__q_n").cast("long")
-    mean = F.when(n > 0, F.col("__q_sum") / n).otherwise(F.lit(0.0))
+    mean = F.when(n > 0, F.col("__q_sum") / (2 * n - 1)).otherwise(F.lit(0.0))
     failed = (n < MIN_WORDS) | (100 * F.col("__q_repeats") > 50 * n)
     verdict = F.struct(
         n.alias("n_words"),
