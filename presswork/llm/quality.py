@@ -23,7 +23,7 @@ BUCKETS = 1 << 14
 TRUSTED = 20_000
 # Mean log ratio a document must reach: 0 would be as near to the trusted texts as the corpus is.
 THRESHOLD = -0.055
-SMOOTHING = 1.0
+SMOOTHING = 2.0
 MIN_WORDS = 50
 # Beyond so many repeated windows, they are found by sorting positions instead of by list search.
 LISTED = 128
@@ -119,7 +119,7 @@ def bucket_weights(
     """``(bucket, weight)``: log ratio of two multinomials over hashed words and word pairs.
 
     The raw multinomial counts every document, the trusted one those whose ids
-    ``trusted`` lists. Both are smoothed alike.
+    ``trusted`` lists; the raw one is scaled to its size and both are smoothed alike.
     """
     ids = F.broadcast(trusted.select(F.col("doc_id").alias("__t"), F.lit(1).alias("__in")))
     known = docs.select("doc_id", text).join(ids, F.col("doc_id") == F.col("__t"), "left")
@@ -138,9 +138,12 @@ def bucket_weights(
     totals = counts.agg(F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
     every = docs.sparkSession.range(buckets).select(F.col("id").alias("bucket"))
     filled = every.join(counts, "bucket", "left").crossJoin(F.broadcast(totals))
-    raw = (F.coalesce("raw", F.lit(0)) + SMOOTHING) / (F.col("n_raw") + SMOOTHING * buckets)
-    target = (F.coalesce("target", F.lit(0)) + SMOOTHING) / (F.col("n_target") + SMOOTHING * buckets)
-    ratio = F.log(target) - F.log(raw)
+    # What the trusted texts would hold of a bucket if they were like the corpus. Both sides get
+    # the same pseudo-counts, so few trusted texts give weights near zero. One occurrence is left
+    # out: a document that is judged brings its own into the corpus, and mostly not into the target.
+    others = F.greatest(F.coalesce("raw", F.lit(0)) - 1, F.lit(0))
+    expected = others * F.col("n_target") / F.col("n_raw")
+    ratio = F.log((F.coalesce("target", F.lit(0)) + SMOOTHING) / (expected + SMOOTHING))
     return filled.select(
         "bucket", F.when(F.col("n_target") > 0, ratio).otherwise(F.lit(0.0)).alias("weight")
     )
@@ -189,4 +192,6 @@ def with_quality(
         (~failed & (mean >= threshold)).alias("kept"),
     )
     kept = [F.col(c) for c in docs.columns if c != out]
-    return step.select(*kept, verdict.alias(out))
+    # A row generator of one row: filters on the verdict stay above it, where the verdict is
+    # a value. Pushed below, they would repeat the arrays' expressions inside one another.
+    return step.select(*kept, F.explode(F.array(verdict)).alias(out))

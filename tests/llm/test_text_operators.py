@@ -103,10 +103,8 @@ def test_quality_ratio(spark):
         raw.update(features(text))
         if i in (0, 1, 2):
             target.update(features(text))
-    size = quality.BUCKETS
-    weight = lambda b: (
-        np.log((target[b] + 1) / (target.total() + size)) - np.log((raw[b] + 1) / (raw.total() + size))
-    )
+    share, more = target.total() / raw.total(), quality.SMOOTHING
+    weight = lambda b: np.log((target[b] + more) / (max(raw[b] - 1, 0) * share + more))
     for i, text in good + bad:
         assert got[i]["log_ratio"] == pytest.approx(np.mean([weight(b) for b in features(text)]), abs=1e-4)
 
