@@ -3,9 +3,9 @@
 Pages become WARC records. Spark's text writer stores them as gzip files that are
 one stream each, as crawlers leave them: nothing in such a file can be read
 without inflating all that stands before it. The normaliser inflates a file once,
-from front to back, rewrites every record as a gzip member of its own and notes
-the member's offset and length. The result is a valid .warc.gz file that opens at
-any record, and a sidecar table of offsets.
+from front to back, and rewrites every record as a gzip member of its own. The
+result is a valid .warc.gz file that opens at any record, and a sidecar table of
+the members' offsets and lengths, taken from the written file.
 
 Files are written by Spark's own writers, so any store that Spark reaches will do.
 The text writer ends a row with a separator: for the monolithic files that is the
@@ -169,41 +169,70 @@ def member(record: bytes) -> bytes:
 
 
 def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One archive per row: its bytes with a member per record, and the members' places."""
-    place = pa.struct([("offset", pa.int64()), ("length", pa.int64()), ("record_id", pa.string())])
+    """One archive per row, with a member per record."""
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1)):
-            out, index, offset, last = [], [], 0, 0
-            for record, head in records(inflated(content.as_py())):
-                packed = member(record)
-                name = (field(record[:head], b"warc-record-id") or b"").decode("utf-8", "replace")
-                index.append({"offset": offset, "length": len(packed), "record_id": name})
-                out.append(packed)
-                offset += len(packed)
+            out, last = [], 0
+            for record, _ in records(inflated(content.as_py())):
+                out.append(member(record))
                 last = len(record)
             if last >= EMPTY_MEMBER_TAIL:
                 out.append(member(b""))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path.as_py()]), pa.array([b"".join(out)], pa.binary())], names=["source", "content"]
+                )
+
+
+def members_of(content: bytes, step: int = 1 << 14) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and inflated bytes of each member of a gzip file."""
+    data, start = memoryview(content), 0
+    while start < len(data):
+        engine, at, parts = zlib.decompressobj(31), start, []
+        while not engine.eof:
+            if at >= len(data):
+                raise ValueError("a member that does not end")
+            parts.append(engine.decompress(data[at : at + step]))
+            at = min(at + step, len(data))
+        end = at - len(engine.unused_data)
+        yield start, end - start, b"".join(parts)
+        start = end
+
+
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for archive, content in zip(batch.column(0), batch.column(1)):
+            rows = []
+            for offset, length, record in members_of(content.as_py()):
+                if record:
+                    name = field(record[: record.index(BOUNDARY)], b"warc-record-id") or b""
+                    rows.append((archive.as_py(), offset, length, name.decode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([path.as_py()]),
-                    pa.array([b"".join(out)], pa.binary()),
-                    pa.array([index], pa.list_(place)),
+                    pa.array([r[i] for r in rows], t)
+                    for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))
                 ],
-                names=["source", "content", "members"],
+                names=["archive", "offset", "length", "record_id"],
             )
 
 
+def _archive_files(spark: SparkSession, out: str) -> DataFrame:
+    """``(archive, content)`` of the normalised files."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
+    files = reader.load(f"{out}/archives")
+    return files.select(F.regexp_extract("path", "archive=([0-9a-f]+)", 1).alias("archive"), "content")
+
+
 def normalise(spark: SparkSession, path: str, out: str) -> None:
     """Rewrite the archives below ``path`` to ``out``/archives, with offsets in ``out``/index."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    schema = "source string, content binary, members array<struct<offset: bigint, length: bigint, record_id: string>>"
-    made = materialize(files.mapInArrow(_normalised, schema), "normalised")
-    made = made.withColumn("archive", F.sha1(F.col("source").cast("binary")))
-    bytes_but_last = F.expr("substring(content, 1, octet_length(content) - 1)").cast("string")
-    made.where("size(members) > 0").select("archive", bytes_but_last.alias("value")).write.option("lineSep", "\x00").option(
-        "compression", "none"
-    ).partitionBy("archive").text(f"{out}/archives")
-    made.select("archive", F.inline("members")).write.parquet(f"{out}/index")
+    made = files.mapInArrow(_normalised, "source string, content binary")
+    archive = F.sha1(F.col("source").cast("binary")).alias("archive")
+    bytes_but_last = F.expr("substring(content, 1, octet_length(content) - 1)").cast("string").alias("value")
+    writer = made.select(archive, bytes_but_last).write.option("lineSep", "\x00").option("compression", "none")
+    writer.partitionBy("archive").text(f"{out}/archives")
+    index = "archive string, offset bigint, length bigint, record_id string"
+    _archive_files(spark, out).mapInArrow(_indexed, index).write.parquet(f"{out}/index")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,13 +281,11 @@ def read_archives(spark: SparkSession, out: str) -> DataFrame:
     """Rows of all records, found through the index. ``payload`` is null for revisits."""
     index = spark.read.parquet(f"{out}/index")
     members = index.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("members"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(f"{out}/archives")
-    files = files.select(F.regexp_extract("path", "archive=([0-9a-f]+)", 1).alias("archive"), "content")
     schema = (
         "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, "
         "refers_to bigint, payload string"
     )
-    return files.join(members, "archive").select("content", "members").mapInArrow(_read, schema)
+    return _archive_files(spark, out).join(members, "archive").select("content", "members").mapInArrow(_read, schema)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
