@@ -129,22 +129,24 @@ def mix(docs: DataFrame, text: str = "text", out: str = "mix", seed: str = SEED)
     )
     sized = sized.withColumn("key", sampling_key(F.col("doc_id"), F.col("weight"), seed))
     sized = materialize(sized.select("doc_id", "source", "size", "key"), "mix-sized")
-    cuts = materialize(source_cuts(sized), "mix-cuts").withColumnRenamed("source", "__m_source")
+    cuts = materialize(source_cuts(sized), "mix-cuts")
+    # One struct, so that no column of the documents can share a name with it.
+    cuts = cuts.select(F.col("source").alias("__m_source"), F.struct(*cuts.columns).alias("__m"))
     joined = docs.withColumn("__m_size", size).join(
         cuts, F.col("source").eqNullSafe(F.col("__m_source")), "left"
     )
     key = sampling_key(F.col("doc_id"), quality_weight(F.col(text), F.col("__m_size")), seed)
     joined = joined.withColumn("__m_key", key)
-    bucket = _bucket(F.col("__m_key"), F.col("n_buckets"))
+    bucket = _bucket(F.col("__m_key"), F.col("__m.n_buckets"))
     at = F.struct(F.col("__m_key").alias("key"), F.col("doc_id"), F.col("__m_size").alias("size"))
     drawn = (
-        F.when(F.col("cut_bucket").isNull(), F.lit(False))
-        .when(bucket < F.col("cut_bucket"), F.lit(True))
-        .otherwise((bucket == F.col("cut_bucket")) & F.coalesce(at <= F.col("cut"), F.lit(False)))
+        F.when(F.col("__m.cut_bucket").isNull(), F.lit(False))
+        .when(bucket < F.col("__m.cut_bucket"), F.lit(True))
+        .otherwise((bucket == F.col("__m.cut_bucket")) & F.coalesce(at <= F.col("__m.cut"), F.lit(False)))
     )
-    copies = F.when(F.col("__m_size") > 0, F.col("epochs") + drawn.cast("long")).otherwise(F.lit(0))
+    copies = F.when(F.col("__m_size") > 0, F.col("__m.epochs") + drawn.cast("long")).otherwise(F.lit(0))
     result = F.struct(
-        F.col("__m_size").alias("size"), F.col("source_size"), F.col("target"),
+        F.col("__m_size").alias("size"), F.col("__m.source_size"), F.col("__m.target"),
         copies.cast("long").alias("copies"), (F.col("__m_size") * copies).cast("long").alias("taken"),
     )
     return joined.select(*[F.col(c) for c in docs.columns if c != out], result.alias(out))
