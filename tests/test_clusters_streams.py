@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from presswork.clustering.affinity import affinity_propagation, spectral_clustering
+from presswork.clustering.affinity import _exemplars, affinity_propagation, spectral_clustering
 from presswork.clustering.centroids import birch, kmeans
 from presswork.clustering.report import cluster_report
 from presswork.operators import bags, plotdata
@@ -38,6 +38,22 @@ def test_clusterings_find_the_blobs(blobs, run):
     assert row["ami"] > 0.95 and row["nmi"] > 0.95
 
 
+def test_points_that_know_no_exemplar_join_the_nearest(spark):
+    points = spark.createDataFrame([(i, [float(i)]) for i in range(7)], "id bigint, vec array<double>")
+    pairs = [(i, i, -9.0) for i in range(7)] + [(1, 0, -1.0), (2, 1, -1.0), (4, 3, -1.0), (5, 6, -1.0)]
+    rows = [(i, j, s, 1.0 if i == j and i in (0, 6) else -1.0, 0.0) for i, j, s in pairs]
+    state = spark.createDataFrame(rows, "id bigint, neighbor bigint, s double, r double, a double")
+    got = {r["doc_id"]: r["cluster"] for r in _exemplars(state, points).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1}
+
+
+def test_affinity_without_exemplar_is_told(spark):
+    points = spark.createDataFrame([(i, [float(i)]) for i in range(6)], "id bigint, vec array<double>")
+    with pytest.warns(UserWarning, match="did not settle"):
+        got = affinity_propagation(points, preference=-1e9, neighbors=2, max_iter=1)
+    assert got.count() == 6
+
+
 def test_decision_grid_covers_the_margin(blobs):
     grid = plotdata.decision_grid(blobs, step=0.5)
     stats = blobs.select(F.expr("1")).count()
