@@ -45,7 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        # local-cluster[...] has executors of its own, so it counts as a cluster.
+        if context.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="presswork-")
     context.setCheckpointDir(named)
