@@ -6,7 +6,7 @@ is consumed, and a ``run_*`` helper that drives it over all available input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presswork.operators import bags
 from presswork.operators.reduce import fold_sketches, merge_sketches
@@ -52,19 +52,31 @@ def stream_multinomial_nb(stream: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def run_to_table(result: DataFrame, mode: str = "complete") -> DataFrame:
+def _batch_path(folder: str, batch_id: int) -> str:
+    return f"{folder}/stream_batch={batch_id}"
+
+
+def _last_batch(spark: SparkSession, folder: str, before: int | None = None) -> int | None:
+    """The latest batch with rows in ``folder``, as the shared folder tells, also after a restart."""
+    spark.range(0).write.mode("ignore").parquet(_batch_path(folder, -1))
+    found = spark.read.schema("stream_batch long").parquet(folder)
+    if before is not None:
+        found = found.where(F.col("stream_batch") < before)
+    return found.agg(F.max("stream_batch")).first()[0]
+
+
+def run_to_table(result: DataFrame, mode: str = "complete", folder: str | None = None) -> DataFrame:
     """Drive an aggregating stream over all available input; return its last state.
 
     Every batch writes its complete result to a folder of its own, so a replayed
-    batch overwrites itself and nothing passes through the driver.
+    batch overwrites itself and nothing passes through the driver. With the
+    ``folder`` of an earlier run the stream goes on where that one ended.
     """
     spark = result.sparkSession
-    base = scratch_path(spark, "stream")
-    last: list[int] = []
+    base = folder or scratch_path(spark, "stream")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out/{batch_id}")
-        last[:] = [batch_id]
+        batch.write.mode("overwrite").parquet(_batch_path(f"{base}/out", batch_id))
 
     query = (
         result.writeStream.outputMode(mode)
@@ -74,31 +86,29 @@ def run_to_table(result: DataFrame, mode: str = "complete") -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    if not last:
+    last = _last_batch(spark, f"{base}/out")
+    if last is None:
         return spark.createDataFrame([], result.schema)
-    return spark.read.schema(result.schema).parquet(f"{base}/out/{last[0]}")
+    return spark.read.schema(result.schema).parquet(_batch_path(f"{base}/out", last))
 
 
-def run_stream_pca(stream: DataFrame, d: int, k: int, seed: int = 0) -> DataFrame:
+def run_stream_pca(stream: DataFrame, d: int, k: int, seed: int = 0, folder: str | None = None) -> DataFrame:
     """Merged PCA sketch of a stream of sparse rows.
 
     Each micro-batch adds its sketch to the state table; sums make the order of
     batches irrelevant. A batch writes the next state under its own number, so
-    a replay reads the same previous state. The result feeds ``components_of``.
+    a replay reads the same previous state. With the ``folder`` of an earlier run
+    the stream goes on where that one ended. The result feeds ``components_of``.
     """
     spark = stream.sparkSession
-    base = scratch_path(spark, "stream-pca")
-    states: list[int] = []
+    base = folder or scratch_path(spark, "stream-pca")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = fold_sketches(batch.withColumn("fold", F.lit(0)), d, k, seed)
-        previous = [s for s in states if s < batch_id]
-        parts = [fresh]
-        if previous:
-            parts.append(spark.read.parquet(f"{base}/state/{previous[-1]}"))
-        merge_sketches(*parts).write.mode("overwrite").parquet(f"{base}/state/{batch_id}")
-        if batch_id not in states:
-            states.append(batch_id)
+        parts = [fold_sketches(batch.withColumn("fold", F.lit(0)), d, k, seed)]
+        previous = _last_batch(spark, f"{base}/state", before=batch_id)
+        if previous is not None:
+            parts.append(spark.read.parquet(_batch_path(f"{base}/state", previous)))
+        merge_sketches(*parts).write.mode("overwrite").parquet(_batch_path(f"{base}/state", batch_id))
 
     query = (
         stream.writeStream.foreachBatch(merge)
@@ -107,6 +117,7 @@ def run_stream_pca(stream: DataFrame, d: int, k: int, seed: int = 0) -> DataFram
         .start()
     )
     query.awaitTermination()
-    if not states:
+    last = _last_batch(spark, f"{base}/state")
+    if last is None:
         return spark.createDataFrame([], "term_idx int, v array<double>")
-    return spark.read.parquet(f"{base}/state/{states[-1]}")
+    return spark.read.parquet(_batch_path(f"{base}/state", last))

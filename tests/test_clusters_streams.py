@@ -74,6 +74,33 @@ def test_stream_word_counts_equal_batch(spark, tmp_path):
     assert sorted(got.collect()) == sorted(batch.select(got.columns).collect())
 
 
+def test_streams_go_on_in_their_folder(spark, tmp_path):
+    words = spark.createDataFrame([("1", "apple"), ("2", "apple pear")], "doc_id string, full_text string")
+    rows = spark.createDataFrame(
+        [("1", [0, 1], [1.0, 2.0]), ("2", [1, 2], [3.0, 1.0])],
+        "doc_id string, indices array<int>, weights array<double>",
+    )
+
+    def counts(folder):
+        stream = spark.readStream.schema(words.schema).parquet(str(tmp_path / "words"))
+        found = incremental.run_to_table(incremental.stream_word_counts(stream), folder=str(tmp_path / folder))
+        return sorted((r["term"], r["df"]) for r in found.collect())
+
+    def sketch(folder):
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "rows"))
+        found = incremental.run_stream_pca(stream, 3, 2, folder=str(tmp_path / folder))
+        return {r["term_idx"]: np.round(r["v"], 9).tolist() for r in found.collect()}
+
+    for doc_id in ("1", "2"):
+        words.where(F.col("doc_id") == doc_id).write.mode("append").parquet(str(tmp_path / "words"))
+        rows.where(F.col("doc_id") == doc_id).write.mode("append").parquet(str(tmp_path / "rows"))
+        seen = counts("a"), sketch("b")
+    assert seen[0] == [("apple", 2), ("pear", 1)]
+    # Without new files the state of the last run is told again; one run over all files agrees.
+    assert (counts("a"), sketch("b")) == seen
+    assert (counts("c"), sketch("d")) == seen
+
+
 def test_replayed_documents_are_dropped(spark, tmp_path):
     df = spark.createDataFrame([("1", "apple")] * 3, "doc_id string, full_text string")
     df.write.parquet(str(tmp_path / "in"))
