@@ -2,13 +2,20 @@
 
 Everything is a DataFrame expression. A text is one row throughout: its words,
 their hashes and its windows are arrays inside the row, so scoring moves no
-text. The only exchanges are bucket counts (a fixed number of rows per task).
+text. The only exchanges are bucket counts and the held-out ratios of judged documents.
+
+The verdict uses ``held_out_ratio``: texts are dealt into ``FOLDS`` folds by their hash
+(exact copies together) and each is scored with counts of the other folds alone, on the
+trusted and on the raw side, so trusted and other texts are judged alike. Its threshold is
+the highest that keeps ``RECALL`` of all judged good documents. ``log_ratio`` is the plain
+ratio over all counts, trusted texts with their own included. The number of buckets follows
+the counted volume of the trusted texts.
 
 Defined cases: a null or blank text has no words, counts of zero and fails the
 base rule; rows are judged one by one, so repeated rows get equal verdicts; a
 null doc_id is scored and never trusted; an empty table gives an empty result;
-without a trusted text the ratio is zero for everyone and only the base rule
-decides. Other columns pass through; a column named like ``out`` is replaced.
+without a trusted text the ratios are zero for everyone and only the base rule
+decides, as it does without a judged good document of ``MIN_WORDS`` words. Other columns pass through; a column named like ``out`` is replaced.
 """
 
 from __future__ import annotations
@@ -16,27 +23,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from presswork.functions.maths import hash_key
-from presswork.llm.common import WORD, word_array
-from presswork.session import materialize
+from presswork.llm.common import WORD, pow2_at_least, word_array, word_count
+from presswork.session import materialize, require_broadcastable
 
+# Least number of buckets, and how many words and pairs of trusted texts a bucket holds on average.
 BUCKETS = 1 << 14
+LOAD = 128
 TRUSTED = 20_000
-# Mean log ratio a document must reach: 0 would be as near to the trusted texts as the corpus is.
-THRESHOLD = -0.055
+FOLDS = 4
+# Share of the judged good documents, of MIN_WORDS words or more, that the ratio must keep.
+RECALL = 0.98
+# Held-out ratios are counted and compared in steps of one part in so many.
+STEPS = 10_000
 SMOOTHING = 2.0
 MIN_WORDS = 50
 # Beyond so many repeated windows, they are found by sorting positions instead of by list search.
 LISTED = 128
 
 
+def good_documents(labels: DataFrame) -> DataFrame:
+    """Ids of all judged good documents that are not toxic; they set the threshold."""
+    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
+    return good.select("doc_id").distinct()
+
+
 def trusted_documents(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
     """Ids of judged good documents that are not toxic: the target's training texts.
 
     At most ``limit`` of them, by hash; this bounds what is sent to every task.
     """
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
-    ids = good.select("doc_id").distinct()
-    return ids.orderBy(hash_key(F.col("doc_id"), "trusted"), "doc_id").limit(limit)
+    return good_documents(labels).orderBy(hash_key(F.col("doc_id"), "trusted"), "doc_id").limit(limit)
 
 
 def _hashes(words: Column) -> Column:
@@ -113,74 +129,147 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def bucket_weights(
-    docs: DataFrame, trusted: DataFrame, text: str = "text", buckets: int = BUCKETS
-) -> DataFrame:
-    """``(bucket, weight)``: log ratio of two multinomials over hashed words and word pairs.
+def _known(docs: DataFrame, trusted: DataFrame, how: str) -> DataFrame:
+    ids = F.broadcast(trusted.select(F.col("doc_id").alias("__t"), F.lit(1).alias("__in")))
+    return docs.join(ids, F.col("doc_id") == F.col("__t"), how)
+
+
+def _fold(text: str) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(FOLDS)).cast("int")
+
+
+def bucket_count(docs: DataFrame, trusted: DataFrame, text: str = "text") -> int:
+    """Buckets for the volume of the trusted texts.
+
+    That volume sets how many can differ: a bucket's weight leaves zero where trusted texts hold
+    it or would be expected to, and the expected counts sum up to the trusted volume.
+    """
+    words = word_count(F.col(text))
+    volume = _known(docs.select("doc_id", text), trusted, "inner").agg(F.sum(2 * words)).first()[0] or 0
+    return max(BUCKETS, pow2_at_least(volume / LOAD))
+
+
+def bucket_weights(docs: DataFrame, trusted: DataFrame, text: str, buckets: int) -> DataFrame:
+    """``(bucket, weights)``: log ratios of two multinomials over hashed words and word pairs.
 
     The raw multinomial counts every document, the trusted one those whose ids
     ``trusted`` lists; the raw one is scaled to its size and both are smoothed alike.
+    Weight k leaves out fold k on both sides, the last one holds all.
     """
-    ids = F.broadcast(trusted.select(F.col("doc_id").alias("__t"), F.lit(1).alias("__in")))
-    known = docs.select("doc_id", text).join(ids, F.col("doc_id") == F.col("__t"), "left")
-    words = known.select(F.coalesce("__in", F.lit(0)).alias("good"), word_array(F.col(text)).alias("w"))
+    known = _known(docs.select("doc_id", text), trusted, "left")
+    words = known.select(
+        F.coalesce("__in", F.lit(0)).alias("good"), _fold(text).alias("fold"), word_array(F.col(text)).alias("w")
+    )
     following = F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1))).alias("b")
-    pairs = words.select("good", F.inline(F.arrays_zip(F.col("w").alias("a"), following)))
-    hashed = pairs.select("good", F.xxhash64("a").alias("a"), F.when(F.col("b").isNotNull(), F.xxhash64("b")).alias("b"))
+    pairs = words.select("good", "fold", F.inline(F.arrays_zip(F.col("w").alias("a"), following)))
+    second = F.when(F.col("b").isNotNull(), F.xxhash64("b")).alias("b")
+    hashed = pairs.select("good", "fold", F.xxhash64("a").alias("a"), second)
     both = F.array(F.col("a"), F.when(F.col("b").isNotNull(), F.xxhash64("a", "b")))
     counts = (
-        hashed.select("good", F.explode(both).alias("h"))
+        hashed.select("good", "fold", F.explode(both).alias("h"))
         .where("h is not null")
-        .groupBy(F.col("h").bitwiseAND(F.lit(buckets - 1)).alias("bucket"))
+        .groupBy(F.col("h").bitwiseAND(F.lit(buckets - 1)).alias("bucket"), "fold")
         .agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     )
     counts = materialize(counts, "bucket-counts")
-    totals = counts.agg(F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
+    folds = range(FOLDS)
+
+    def sums(name: str, prefix: str) -> list[Column]:
+        parts = [F.sum(F.when(F.col("fold") != k, F.col(name))) for k in folds] + [F.sum(name)]
+        return [F.coalesce(p, F.lit(0)).alias(f"{prefix}{name}{k}") for k, p in enumerate(parts)]
+
+    totals = counts.agg(*sums("raw", "n_"), *sums("target", "n_"))
+    each = counts.groupBy("bucket").agg(*sums("raw", ""), *sums("target", ""))
     every = docs.sparkSession.range(buckets).select(F.col("id").alias("bucket"))
-    filled = every.join(counts, "bucket", "left").crossJoin(F.broadcast(totals))
-    # What the trusted texts would hold of a bucket if they were like the corpus. Both sides get
-    # the same pseudo-counts, so few trusted texts give weights near zero. One occurrence is left
-    # out: a document that is judged brings its own into the corpus, and mostly not into the target.
-    others = F.greatest(F.coalesce("raw", F.lit(0)) - 1, F.lit(0))
-    expected = others * F.col("n_target") / F.col("n_raw")
-    ratio = F.log((F.coalesce("target", F.lit(0)) + SMOOTHING) / (expected + SMOOTHING))
-    return filled.select(
-        "bucket", F.when(F.col("n_target") > 0, ratio).otherwise(F.lit(0.0)).alias("weight")
-    )
+    filled = every.join(each, "bucket", "left").crossJoin(F.broadcast(totals))
+
+    def weight(k: int) -> Column:
+        # What the trusted texts would hold of a bucket if they were like the corpus. Both sides get
+        # the same pseudo-counts, so few trusted texts give weights near zero. Over all counts one
+        # occurrence is left out: a judged document brings its own into the corpus.
+        others = F.coalesce(f"raw{k}", F.lit(0))
+        others = F.greatest(others - 1, F.lit(0)) if k == FOLDS else others
+        expected = others * F.col(f"n_target{k}") / F.greatest(F.col(f"n_raw{k}"), F.lit(1))
+        ratio = F.log((F.coalesce(f"target{k}", F.lit(0)) + SMOOTHING) / (expected + SMOOTHING))
+        return F.when(F.col(f"n_target{k}") > 0, ratio).otherwise(F.lit(0.0))
+
+    return filled.select("bucket", F.array(*[weight(k) for k in range(FOLDS + 1)]).alias("weights"))
 
 
 def _literal(weights: DataFrame) -> Column:
-    """The weights as one constant array; its length is ``buckets``, whatever the corpus.
+    """The weights as one constant array, bucket by bucket; its length is known beforehand.
 
     Written with four decimals in one string, which the optimiser folds into a literal.
     """
-    rows = weights.orderBy("bucket").select(F.format_string("%.4f", "weight").alias("w")).collect()
+    form = ",".join(["%.4f"] * (FOLDS + 1))
+    each = [F.col("weights")[k] for k in range(FOLDS + 1)]
+    rows = weights.orderBy("bucket").select(F.format_string(form, *each).alias("w")).collect()
     return F.split(F.lit(",".join(r["w"] for r in rows)), ",").cast("array<double>")
 
 
+def _mean_weight(vector: Column, terms: str, vector_of: Column, buckets: int) -> Column:
+    """Mean over hashes of their weights in the vector of that number."""
+    place = lambda h, v: (h.bitwiseAND(F.lit(buckets - 1)) * (FOLDS + 1) + v).cast("int")
+    # The number is bound once a row: inside the sum it would be computed for every hash.
+    totals = F.transform(
+        F.array(vector_of),
+        lambda v: F.aggregate(terms, F.lit(0.0), lambda total, h: total + F.get(vector, place(h, v))),
+    )
+    return F.when(F.size(terms) > 0, F.get(totals, F.lit(0)) / F.size(terms)).otherwise(F.lit(0.0))
+
+
+def _terms() -> Column:
+    return F.concat("__q_hashes", _windows(F.col("__q_hashes"), F.col("__q_n"), 2))
+
+
+def threshold_step(ratios: DataFrame, recall: float = RECALL) -> int | None:
+    """The highest step of ``ratio`` that keeps ``recall`` of the rows; none without rows.
+
+    The steps are counted in a job, over all rows; what comes back is a histogram.
+    """
+    step = F.floor(F.col("ratio") * STEPS).alias("step")
+    rows = sorted(ratios.groupBy(step).count().collect(), key=lambda r: r["step"])
+    lost, allowed = 0, int((1 - recall) * sum(r["count"] for r in rows) + 1e-9)
+    for r in rows:
+        lost += r["count"]
+        if lost > allowed:
+            return r["step"]
+    return None
+
+
 def with_quality(
     docs: DataFrame,
     trusted: DataFrame,
     text: str = "text",
     out: str = "quality",
-    buckets: int = BUCKETS,
-    threshold: float = THRESHOLD,
+    judged: DataFrame | None = None,
+    recall: float = RECALL,
 ) -> DataFrame:
-    """Add a struct ``out`` of statistics, the mean log ratio and the verdict ``kept``."""
+    """Add a struct ``out`` of statistics, the mean log ratios and the verdict ``kept``.
+
+    ``judged`` lists the ids of all good documents, which set the threshold; by default ``trusted``.
+    """
+    buckets = bucket_count(docs, trusted, text)
+    require_broadcastable(buckets * (FOLDS + 1), "weights of the quality ratio")
     vector = _literal(bucket_weights(docs, trusted, text, buckets))
 
-    step = with_base(docs, text)
-    step = step.withColumn("__q_pairs", _windows(F.col("__q_hashes"), F.col("__q_n"), 2)).withColumn(
-        "__q_sum",
-        F.aggregate(
-            F.concat("__q_hashes", "__q_pairs"),
-            F.lit(0.0),
-            lambda total, h: total + F.get(vector, h.bitwiseAND(F.lit(buckets - 1)).cast("int")),
-        ),
+    slim = docs.select("doc_id", text).withColumn("__q_words", word_array(F.col(text)))
+    slim = slim.withColumns({"__q_n": F.size("__q_words"), "__q_hashes": _hashes(F.col("__q_words"))})
+    slim = slim.where(F.col("__q_n") >= MIN_WORDS).withColumn("__q_terms", _terms())
+    ratios = slim.select("doc_id", _mean_weight(vector, "__q_terms", _fold(text), buckets).alias("ratio"))
+    good = (trusted if judged is None else judged).select("doc_id")
+    least = threshold_step(ratios.join(good, "doc_id", "left_semi"), recall)
+
+    step = with_base(docs, text).withColumn("__q_terms", _terms())
+    step = step.withColumns(
+        {
+            "__q_mean": _mean_weight(vector, "__q_terms", F.lit(FOLDS), buckets),
+            "__q_held": _mean_weight(vector, "__q_terms", _fold(text), buckets),
+        }
     )
     n = F.col("__q_n").cast("long")
-    mean = F.when(n > 0, F.col("__q_sum") / (2 * n - 1)).otherwise(F.lit(0.0))
     failed = (n < MIN_WORDS) | (100 * F.col("__q_repeats") > 50 * n)
+    reached = F.lit(True) if least is None else F.floor(F.col("__q_held") * STEPS) >= least
     verdict = F.struct(
         n.alias("n_words"),
         F.col("__q_chars").alias("word_chars"),
@@ -188,8 +277,9 @@ def with_quality(
         F.col("__q_dup_lines").alias("n_dup_lines"),
         F.col("__q_repeats").alias("n_repeat_words"),
         failed.alias("base_failed"),
-        mean.alias("log_ratio"),
-        (~failed & (mean >= threshold)).alias("kept"),
+        F.col("__q_mean").alias("log_ratio"),
+        F.col("__q_held").alias("held_out_ratio"),
+        (~failed & reached).alias("kept"),
     )
     kept = [F.col(c) for c in docs.columns if c != out]
     # A row generator of one row: filters on the verdict stay above it, where the verdict is

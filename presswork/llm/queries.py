@@ -70,8 +70,9 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    trusted = quality.trusted_documents(table(spark, sf_dir, "labels"))
-    return quality.with_quality(docs, trusted).select("doc_id", "quality.*")
+    labels = table(spark, sf_dir, "labels")
+    trusted, judged = quality.trusted_documents(labels), quality.good_documents(labels)
+    return quality.with_quality(docs, trusted, judged=judged).select("doc_id", "quality.*")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

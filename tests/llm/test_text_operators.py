@@ -109,6 +109,33 @@ def test_quality_ratio(spark):
         assert got[i]["log_ratio"] == pytest.approx(np.mean([weight(b) for b in features(text)]), abs=1e-4)
 
 
+def test_quality_verdict_on_held_out_texts(spark):
+    rng = random.Random(5)
+    text = lambda stem: " ".join(f"{stem}{rng.randrange(300)}" for _ in range(120))
+    rows = [(i, text("clean")) for i in range(80)] + [(100 + i, text("junk")) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    judged = quality.good_documents(
+        spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    )
+    trusted = judged.where("doc_id < 20")
+    got = {r["doc_id"]: r for r in quality.with_quality(frame, trusted, judged=judged).select("doc_id", "quality.*").collect()}
+    assert sum(got[i]["kept"] for i in range(40)) >= quality.RECALL * 40
+    assert sum(got[i]["kept"] for i in range(40, 80)) >= 36
+    assert not any(got[100 + i]["kept"] for i in range(40))
+    # A trusted text has no gain from its own counts: it is judged like any other clean text.
+    held = lambda ids: np.mean([got[i]["held_out_ratio"] for i in ids])
+    assert abs(held(range(20)) - held(range(20, 80))) < 0.05 < np.mean([got[i]["log_ratio"] for i in range(20)]) - held(range(20))
+
+
+def test_quality_buckets_follow_the_trusted_volume(spark, monkeypatch):
+    frame = spark.createDataFrame([(i, "a b c d " * 1000) for i in range(8)], "doc_id long, text string")
+    trusted = frame.select("doc_id").where("doc_id < 4")
+    monkeypatch.setattr(quality, "LOAD", 1)
+    monkeypatch.setattr(quality, "BUCKETS", 16)
+    assert quality.bucket_count(frame, trusted) == 32768
+    assert quality.bucket_count(frame, trusted.limit(0)) == 16
+
+
 def brute_lines(rows):
     holders = {}
     for r in rows:
