@@ -5,10 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from presswork.llm import bpe, jaccard, langid, line_dedup, lm, mixing, quality, secrets, topk, warc
+from presswork.llm import (
+    bpe, jaccard, langid, line_dedup, lm, merkle, mixing, quality, secrets, token_count, topk, warc,
+)
 from presswork.llm.common import UPPER, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+COUNTED_VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,11 +82,31 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).drop("payload")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = merkle.tampered_leaves(table(spark, sf_dir, "documents"))
+    found = merkle.proofs(merkle.build_manifest(leaves, payload=["tampered"]), "tampered")
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs, public_tokenizers.path(COUNTED_VOCABULARY))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_language_id, op3_exact_top_k, op4_line_dedup, op5_ngram_jaccard,
-        op6_byte_bpe, op7_secret_scan, op8_source_mix, op9_quality_rules, op10_warc,
+        op6_byte_bpe, op7_secret_scan, op8_source_mix, op9_quality_rules, op10_warc, op12_merkle_manifest,
+        op13_token_counts,
     )
 }
 
@@ -91,6 +114,20 @@ BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = f"translate({{}}, '{UPPER}', '{UPPER.lower()}')"
 WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
+# CRC-32 of a string of ASCII characters; needs the column ``crcs`` of CRC_TABLE.
+CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+            lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS crcs"""
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+            list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)),
+            lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])))"""
+
+
+def _leaf_sql(text: str) -> str:
+    parts = ["doc_id", "source", "lang", "n_chars", text]
+    shown = [f"coalesce(strlen({p}::VARCHAR) || ':' || {p}::VARCHAR, '-')" for p in parts]
+    return f"sha256({' || '.join(shown)})"
+
+
 ORACLE = {
     "op3_exact_top_k": """
         WITH v AS (
@@ -196,4 +233,50 @@ ORACLE = {
                CASE WHEN page_id < target THEN target END AS refers_to
         FROM rows LEFT JOIN largest USING (html)
     """,
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE leaves AS (
+            SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+                   CASE WHEN {CRC.format("doc_id::VARCHAR")} % 2 = 0
+                        THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS tampered
+            FROM documents, ({CRC_TABLE})
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+        ), lower AS (
+            SELECT source, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM placed
+            UNION ALL
+            SELECT source, any_value(level) + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 2) // 3
+            FROM lower WHERE n > 1 GROUP BY source, i // 3
+        ), subroots AS (
+            SELECT source, level AS height, h AS subroot,
+                   row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS i FROM lower WHERE n = 1
+        ), upper AS (
+            SELECT 0 AS level, i, subroot AS h, count(*) OVER () AS n FROM subroots
+            UNION ALL
+            SELECT any_value(level) + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 2) // 3
+            FROM upper WHERE n > 1 GROUP BY i // 3
+        ), root AS (SELECT h AS root FROM upper WHERE n = 1
+        ), nodes AS (
+            SELECT source, FALSE AS top, level, i, h FROM lower
+            UNION ALL SELECT NULL, TRUE, level, i, h FROM upper
+        ), ranges AS (
+            SELECT source, top, level, i // 3 AS run, list(h ORDER BY i) AS hs FROM nodes GROUP BY ALL
+        ), steps AS (
+            SELECT 0 AS step, placed.*, height, subroots.i AS place, subroot, '' AS proof, tampered AS folded
+            FROM placed JOIN subroots ON placed.source IS NOT DISTINCT FROM subroots.source
+            UNION ALL
+            SELECT step + 1, doc_id, s.source, leaf, tampered,
+                   CASE WHEN step < height THEN s.i // 3 ELSE s.i END, height,
+                   CASE WHEN step < height THEN place ELSE place // 3 END, subroot,
+                   proof || array_to_string(hs[:j - 1], '') || array_to_string(hs[j + 1:], ''),
+                   sha256(array_to_string(hs[:j - 1], '') || folded || array_to_string(hs[j + 1:], ''))
+            FROM (SELECT *, step >= height AS up, CASE WHEN step < height THEN i ELSE place END AS p, p % 3 + 1 AS j
+                  FROM steps) s
+            JOIN ranges r ON r.top = s.up AND r.run = s.p // 3
+              AND r.level = CASE WHEN up THEN step - height ELSE step END
+              AND (up OR r.source IS NOT DISTINCT FROM s.source)
+            WHERE step < height + (SELECT max(level) FROM upper)
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+        FROM steps, root WHERE step = height + (SELECT max(level) FROM upper)
+    """,
 }
