@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from presswork.llm import (
-    bpe, jaccard, langid, line_dedup, lm, merkle, mixing, quality, secrets, token_count, topk, warc,
+    bpe, conversations, jaccard, langid, line_dedup, lm, merkle, mixing, quality, secrets, token_count,
+    topk, warc,
 )
 from presswork.llm.common import UPPER, table
 
@@ -82,6 +83,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).drop("payload")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = merkle.tampered_leaves(table(spark, sf_dir, "documents"))
     found = merkle.proofs(merkle.build_manifest(leaves, payload=["tampered"]), "tampered")
@@ -105,8 +110,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_language_id, op3_exact_top_k, op4_line_dedup, op5_ngram_jaccard,
-        op6_byte_bpe, op7_secret_scan, op8_source_mix, op9_quality_rules, op10_warc, op12_merkle_manifest,
-        op13_token_counts,
+        op6_byte_bpe, op7_secret_scan, op8_source_mix, op9_quality_rules, op10_warc, op11_conversation_repair,
+        op12_merkle_manifest, op13_token_counts,
     )
 }
 
@@ -233,6 +238,68 @@ ORACLE = {
                CASE WHEN page_id < target THEN target END AS refers_to
         FROM rows LEFT JOIN largest USING (html)
     """,
+    "op11_conversation_repair": f"""
+        WITH RECURSIVE filled AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {CRC.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fate
+            FROM conversations, ({CRC_TABLE})
+        ), damaged AS (
+            SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(range(CASE fate WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM filled WHERE fate <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   trim(text, {BLANKS}) AS bare, left(role, 1) AS c
+            FROM damaged
+        ), marked AS (
+            SELECT *, CASE WHEN bare = '' THEN 'blank'
+                           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                           WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                   lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed
+        ), counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+            FROM marked GROUP BY conv_id
+        ), ways AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0, 'audit': '', 'lines': ''}} AS best FROM conversations
+            UNION ALL
+            SELECT conv_id, i, q, min(best) FROM (
+                SELECT s.conv_id, r.i,
+                       CASE l WHEN 'D' THEN p WHEN 'R' THEN CASE p WHEN 2 THEN 3 ELSE 2 END
+                              ELSE CASE c WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END END AS q,
+                       {{'cost': s.best.cost + 3 * j + CASE l WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+                             + CASE WHEN l <> 'D' AND fault = 'truncated' THEN 3 ELSE 0 END,
+                        'audit': s.best.audit || repeat('I', j) || l,
+                        'lines': s.best.lines || CASE WHEN j > 0 THEN chr(10) || rolename || ':' ELSE '' END
+                             || CASE WHEN j > 1 THEN chr(10) || CASE q WHEN 2 THEN 'user:' ELSE 'assistant:' END ELSE '' END
+                             || CASE l WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text
+                                ELSE chr(10) || CASE p WHEN 2 THEN 'assistant' ELSE 'user' END || ':' || text END}} AS best
+                FROM (SELECT *, CASE WHEN j = 0 THEN q WHEN (q = 2) = (j = 1) THEN 3 ELSE 2 END AS p,
+                             CASE q WHEN 2 THEN 'assistant' ELSE 'user' END AS rolename
+                      FROM (SELECT *, unnest([0, 1, 2]) AS j FROM ways)) s
+                JOIN marked r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i + 1,
+                (VALUES ('D'), ('K'), ('R')) AS letters(l)
+                WHERE l = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (l = 'R'
+                      OR (c = 's' AND p = 0) OR (c = 'u' AND p <> 2) OR (c = 'a' AND p = 2)))
+            ) GROUP BY conv_id, i, q
+        ), ended AS (
+            SELECT w.conv_id, min({{'cost': best.cost + CASE q WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END,
+                    'audit': best.audit || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+                    'lines': best.lines || CASE q WHEN 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:'
+                                                  WHEN 2 THEN chr(10) || 'assistant:' ELSE '' END}}) AS best
+            FROM ways w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+            WHERE w.i = coalesce(c.n, 0) GROUP BY w.conv_id
+        )
+        SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+               coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+               coalesce(illegal, 0)::BIGINT AS illegal, best.cost::BIGINT AS cost, best.audit AS audit,
+               sha256(substr(best.lines, 2)) AS repaired_sha256
+        FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+    """,
     "op12_merkle_manifest": f"""
         WITH RECURSIVE leaves AS (
             SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
