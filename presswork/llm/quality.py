@@ -11,11 +11,16 @@ the highest that keeps ``RECALL`` of all judged good documents. ``log_ratio`` is
 ratio over all counts, trusted texts with their own included. The number of buckets follows
 the counted volume of the trusted texts.
 
+Texts are read twice: once for the counts, once for statistics and ratios, which are written;
+the threshold and the verdict come from that table. The weights are a table as well and reach
+the tasks as the value of a scalar subquery, so neither the plan nor Python on the driver holds them.
+
 Defined cases: a null or blank text has no words, counts of zero and fails the
-base rule; rows are judged one by one, so repeated rows get equal verdicts; a
-null doc_id is scored and never trusted; an empty table gives an empty result;
-without a trusted text the ratios are zero for everyone and only the base rule
-decides, as it does without a judged good document of ``MIN_WORDS`` words. Other columns pass through; a column named like ``out`` is replaced.
+base rule; rows are judged one by one, so repeated rows get equal verdicts; a very long text is
+one row and judged whole; a null doc_id is scored and never trusted; an empty table gives an
+empty result; without a trusted text the ratios are zero for everyone and only the base rule
+decides, as it does without a judged good document of ``MIN_WORDS`` words. Other columns pass
+through whatever their names; a column named like ``out`` is replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from presswork.functions.maths import hash_key
 from presswork.llm.common import WORD, pow2_at_least, word_array, word_count
-from presswork.session import materialize, require_broadcastable
+from presswork.session import materialize, require_broadcastable, scalar
 
 # Least number of buckets, and how many words and pairs of trusted texts a bucket holds on average.
 BUCKETS = 1 << 14
@@ -61,9 +66,8 @@ def _hashes(words: Column) -> Column:
 
 def _windows(hashes: Column, n: Column, width: int = 3) -> Column:
     """Hashes of all windows of ``width`` words, in order, from the words' hashes."""
-    shifted = [F.slice(hashes, F.lit(k + 1), n - (width - 1)).alias(str(k)) for k in range(width)]
-    hashed = F.transform(F.arrays_zip(*shifted), lambda t: F.xxhash64(*[t[str(k)] for k in range(width)]))
-    return F.when(n >= width, hashed).otherwise(F.array().cast("array<bigint>"))
+    firsts = F.slice(hashes, F.lit(1), F.greatest(n - (width - 1), F.lit(0)))
+    return F.transform(firsts, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, width)]))
 
 
 def _repeated_positions(windows: Column, repeated: Column) -> Column:
@@ -196,26 +200,27 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, text: str, buckets: int)
     return filled.select("bucket", F.array(*[weight(k) for k in range(FOLDS + 1)]).alias("weights"))
 
 
-def _literal(weights: DataFrame) -> Column:
-    """The weights as one constant array, bucket by bucket; its length is known beforehand.
+def _vectors(weights: DataFrame) -> Column:
+    """The weights in steps of 1 / STEPS, as one array per fold and one for all, each bucket by bucket.
 
-    Written with four decimals in one string, which the optimiser folds into a literal.
+    Whole numbers add up alike in any order and take half the room: a row holds one such array for a moment.
     """
-    form = ",".join(["%.4f"] * (FOLDS + 1))
-    each = [F.col("weights")[k] for k in range(FOLDS + 1)]
-    rows = weights.orderBy("bucket").select(F.format_string(form, *each).alias("w")).collect()
-    return F.split(F.lit(",".join(r["w"] for r in rows)), ",").cast("array<double>")
+    rows = F.array_sort(F.collect_list(F.struct("bucket", "weights")))
+    # Spark counts a function's parameters, so the number cannot be a default of the lambda.
+    vector = lambda k: F.transform(rows, lambda r: F.round(r["weights"][k] * STEPS).cast("int"))
+    return scalar(weights, F.array(*[vector(k) for k in range(FOLDS + 1)]))
 
 
-def _mean_weight(vector: Column, terms: str, vector_of: Column, buckets: int) -> Column:
-    """Mean over hashes of their weights in the vector of that number."""
-    place = lambda h, v: (h.bitwiseAND(F.lit(buckets - 1)) * (FOLDS + 1) + v).cast("int")
-    # The number is bound once a row: inside the sum it would be computed for every hash.
+def _mean_weight(vector: str, terms: str, buckets: int) -> Column:
+    """Mean over hashes of their weights in the vector of that column."""
+    place = lambda h: h.bitwiseAND(F.lit(buckets - 1)).cast("int")
+    zero = F.lit(0).cast("long")
+    # The vector is bound once a row: inside the sum it would be looked up for every hash.
     totals = F.transform(
-        F.array(vector_of),
-        lambda v: F.aggregate(terms, F.lit(0.0), lambda total, h: total + F.get(vector, place(h, v))),
+        F.array(vector), lambda v: F.aggregate(terms, zero, lambda total, h: total + F.get(v, place(h)))
     )
-    return F.when(F.size(terms) > 0, F.get(totals, F.lit(0)) / F.size(terms)).otherwise(F.lit(0.0))
+    mean = F.get(totals, F.lit(0)) / (F.size(terms) * F.lit(float(STEPS)))
+    return F.when(F.size(terms) > 0, mean).otherwise(F.lit(0.0))
 
 
 def _terms() -> Column:
@@ -244,44 +249,44 @@ def with_quality(
     out: str = "quality",
     judged: DataFrame | None = None,
     recall: float = RECALL,
+    plain: bool = True,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Add a struct ``out`` of statistics, the mean log ratios and the verdict ``kept``.
+    """The columns ``keep`` (all by default) and a struct ``out`` of statistics, the mean log ratios
+    and the verdict ``kept``. ``log_ratio`` costs a second sum over the words; ``plain=False`` leaves it out.
 
     ``judged`` lists the ids of all good documents, which set the threshold; by default ``trusted``.
     """
     buckets = bucket_count(docs, trusted, text)
     require_broadcastable(buckets * (FOLDS + 1), "weights of the quality ratio")
-    vector = _literal(bucket_weights(docs, trusted, text, buckets))
-
-    slim = docs.select("doc_id", text).withColumn("__q_words", word_array(F.col(text)))
-    slim = slim.withColumns({"__q_n": F.size("__q_words"), "__q_hashes": _hashes(F.col("__q_words"))})
-    slim = slim.where(F.col("__q_n") >= MIN_WORDS).withColumn("__q_terms", _terms())
-    ratios = slim.select("doc_id", _mean_weight(vector, "__q_terms", _fold(text), buckets).alias("ratio"))
-    good = (trusted if judged is None else judged).select("doc_id")
-    least = threshold_step(ratios.join(good, "doc_id", "left_semi"), recall)
+    vectors = _vectors(materialize(bucket_weights(docs, trusted, text, buckets), "quality-weights"))
 
-    step = with_base(docs, text).withColumn("__q_terms", _terms())
-    step = step.withColumns(
-        {
-            "__q_mean": _mean_weight(vector, "__q_terms", F.lit(FOLDS), buckets),
-            "__q_held": _mean_weight(vector, "__q_terms", _fold(text), buckets),
-        }
-    )
+    kept = [c for c in (docs.columns if keep is None else keep) if c != out]
+    # The documents' own columns travel in one, so that none can meet a name used here.
+    own = F.struct(*[F.col(c) for c in kept], F.lit(0).alias("__q_end")).alias("__q_doc")
+    step = docs.select(own, F.col("doc_id").alias("__q_id"), F.col(text).alias("__q_text"))
+    step = with_base(step, "__q_text").withColumn("__q_terms", _terms())
     n = F.col("__q_n").cast("long")
-    failed = (n < MIN_WORDS) | (100 * F.col("__q_repeats") > 50 * n)
-    reached = F.lit(True) if least is None else F.floor(F.col("__q_held") * STEPS) >= least
-    verdict = F.struct(
+    step = step.withColumn("__q_held", F.get(vectors, _fold("__q_text")))
+    ratios = {"held_out_ratio": _mean_weight("__q_held", "__q_terms", buckets)}
+    if plain:
+        step = step.withColumn("__q_all", F.get(vectors, F.lit(FOLDS)))
+        ratios = {"log_ratio": _mean_weight("__q_all", "__q_terms", buckets)} | ratios
+    facts = F.struct(
         n.alias("n_words"),
         F.col("__q_chars").alias("word_chars"),
         F.col("__q_symbols").alias("n_symbols"),
         F.col("__q_dup_lines").alias("n_dup_lines"),
         F.col("__q_repeats").alias("n_repeat_words"),
-        failed.alias("base_failed"),
-        F.col("__q_mean").alias("log_ratio"),
-        F.col("__q_held").alias("held_out_ratio"),
-        (~failed & reached).alias("kept"),
+        ((n < MIN_WORDS) | (100 * F.col("__q_repeats") > 50 * n)).alias("base_failed"),
+        *[column.alias(name) for name, column in ratios.items()],
     )
-    kept = [F.col(c) for c in docs.columns if c != out]
-    # A row generator of one row: filters on the verdict stay above it, where the verdict is
-    # a value. Pushed below, they would repeat the arrays' expressions inside one another.
-    return step.select(*kept, F.explode(F.array(verdict)).alias(out))
+    scored = materialize(step.select("__q_doc", "__q_id", facts.alias("__q_facts")), "quality-scored")
+
+    good = (trusted if judged is None else judged).select(F.col("doc_id").alias("__q_id"))
+    long = scored.where(F.col("__q_facts.n_words") >= MIN_WORDS)
+    judged_ratios = long.join(good, "__q_id", "left_semi").select(F.col("__q_facts.held_out_ratio").alias("ratio"))
+    least = threshold_step(judged_ratios, recall)
+    reached = F.lit(True) if least is None else F.floor(F.col("__q_facts.held_out_ratio") * STEPS) >= least
+    verdict = F.struct("__q_facts.*", (~F.col("__q_facts.base_failed") & reached).alias("kept"))
+    return scored.select(*[F.col("__q_doc")[c].alias(c) for c in kept], verdict.alias(out))

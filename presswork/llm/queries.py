@@ -76,7 +76,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
     trusted, judged = quality.trusted_documents(labels), quality.good_documents(labels)
-    return quality.with_quality(docs, trusted, judged=judged).select("doc_id", "quality.*")
+    made = quality.with_quality(docs, trusted, judged=judged, plain=False, keep=["doc_id"])
+    return made.select("doc_id", "quality.*")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
