@@ -7,7 +7,8 @@ import time
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from presswork.clustering.affinity import affinity_propagation, spectral_clustering
+from presswork.clustering.affinity import spectral_clustering
+from presswork.clustering.affinity_blocks import affinity_propagation
 from presswork.clustering.centroids import birch, kmeans, kmeans_model
 from presswork.clustering.dbscan import dbscan
 from presswork.clustering.report import cluster_report
@@ -186,7 +187,7 @@ def affinity_report(spark, sf_dir):
         "affinity_propagation",
         spark,
         sf_dir,
-        lambda: affinity_propagation(points, preference=-1.0, neighbors=50, max_iter=40),
+        lambda: affinity_propagation(points, preference=-1.0),
     )
 
 
