@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from presswork.learners.moments import class_moments, score_rows
+from presswork.learners.moments import ClassMoments, class_moments, score_rows
 from presswork.learners.relevance import split
 from presswork.operators.categories import indicator
 from presswork.operators.vectors import vector_sums
@@ -16,13 +16,11 @@ from presswork.session import materialize
 NEVER = -1e300  # score of a category without positive training rows
 
 
-def gaussian_nb(data: DataFrame, names: list[str], test_fold: int | None = 2) -> DataFrame:
-    """Normal densities per class and dimension; score = log odds.
+def gaussian_weights(m: ClassMoments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log odds as ``(weights of x, constants, weights of x**2)`` per category.
 
     Variances are population variances plus 1e-9 of the largest one.
     """
-    train, test = split(data, test_fold)
-    m = class_moments(train, names)
     smooth = 1e-9 * (m.square / m.n).max()
     n1, n0 = m.n1[:, None], m.n0[:, None]
     v1 = m.square1 / np.maximum(n1, 1) + smooth
@@ -36,6 +34,13 @@ def gaussian_nb(data: DataFrame, names: list[str], test_fold: int | None = 2) ->
     ).sum(axis=1)
     for absent, value in ((m.n1 == 0, NEVER), (m.n0 == 0, -NEVER)):
         square[absent], linear[absent], constant[absent] = 0.0, 0.0, value
+    return linear, constant, square
+
+
+def gaussian_nb(data: DataFrame, names: list[str], test_fold: int | None = 2) -> DataFrame:
+    """Normal densities per class and dimension; score = log odds."""
+    train, test = split(data, test_fold)
+    linear, constant, square = gaussian_weights(class_moments(train, names))
     return score_rows(test, names, linear, constant, square)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from presswork.operators.categories import has_category
 from presswork.session import require_broadcastable
@@ -46,6 +46,12 @@ class ClassMoments:
         return np.maximum(within, 0.0)
 
 
+def carried_categories(names: list[str]) -> Column:
+    """-1 for every row, then the numbers of the categories that it carries."""
+    numbers = [F.when(has_category(n) == 1.0, F.lit(i)) for i, n in enumerate(names)]
+    return F.filter(F.array(F.lit(-1), *numbers), lambda i: i.isNotNull())
+
+
 def class_moments(train: DataFrame, names: list[str]) -> ClassMoments:
     """Each row counts once for the total and once per category it carries.
 
@@ -53,16 +59,9 @@ def class_moments(train: DataFrame, names: list[str]) -> ClassMoments:
     one vector per positive label instead of one per category. Partial
     aggregation absorbs categories that hold a large share of the rows.
     """
-    carried = F.filter(
-        F.array(
-            F.lit(-1),
-            *[F.when(has_category(n) == 1.0, F.lit(i)) for i, n in enumerate(names)],
-        ),
-        lambda i: i.isNotNull(),
-    )
     stats = Summarizer.metrics("count", "mean", "variance").summary(F.col("features"))
     rows = (
-        train.select(F.explode(carried).alias("c"), "features")
+        train.select(F.explode(carried_categories(names)).alias("c"), "features")
         .groupBy("c")
         .agg(stats.alias("s"))
         .collect()

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from presswork.functions.maths import log_factorial
-from presswork.session import scalar
+from presswork.session import materialize, scalar
 
 TOTAL_ROW = -1  # category_idx of the "avg / total" line
 
@@ -65,6 +65,31 @@ def macro_average(predictions: DataFrame, by: tuple[str, ...] = ()) -> DataFrame
     return lines.groupBy(*by).agg(*means) if by else lines.agg(*means)
 
 
+def area_under_curve(predictions: DataFrame) -> DataFrame:
+    """``(category_idx, positives, negatives, auc)``: the share of pairs of a positive and a negative row
+    that the score puts in order, ties counted half. Null where a side is empty.
+
+    Equal scores are counted first. The sorted counts are range-partitioned over all categories; what lies
+    below a partition is the sum of the partitions before it, so no task holds a category.
+    """
+    positive = F.col("label") == 1.0
+    ties = predictions.groupBy("category_idx", "score").agg(
+        F.sum(F.when(positive, 1).otherwise(0)).alias("pos"), F.sum(F.when(positive, 0).otherwise(1)).alias("neg")
+    )
+    keys = ["category_idx", "score"]
+    ordered = ties.repartitionByRange(*keys).withColumn("part", F.spark_partition_id())
+    stored = materialize(ordered, "auc-ties")
+    here = W.partitionBy("part", "category_idx").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("category_idx").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    below = stored.groupBy("category_idx", "part").agg(F.sum("neg").alias("neg"))
+    below = below.select("category_idx", "part", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).alias("below"))
+    placed = stored.withColumn("within", F.coalesce(F.sum("neg").over(here), F.lit(0))).join(below, ["category_idx", "part"])
+    won = F.sum(F.col("pos") * (F.col("below") + F.col("within") + F.col("neg") / 2))
+    sums = placed.groupBy("category_idx").agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), won.alias("won"))
+    pairs = F.col("positives") * F.col("negatives")
+    return sums.select("category_idx", "positives", "negatives", F.when(pairs > 0, F.col("won") / pairs).alias("auc"))
+
+
 # ------------------------------------------------------------ cluster agreement
 
 

@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from presswork.learners import estimators
+from presswork.learners import crossfold, estimators, joint
 from presswork.learners.bayes import gaussian_nb, multinomial_nb
 from presswork.learners.boosting import adaboost
 from presswork.learners.discriminant import linear_discriminant
@@ -266,6 +266,102 @@ def multinomial(spark, sf_dir):
     return rounded(multinomial_nb(materialize(weights, "weights"), docs, dictionary, LANGS, TEST_FOLD))
 
 
+def sql_mnb_folds() -> str:
+    """As above with every fold held out once; ``f`` is the fold held out."""
+    return f"""{sp.tfidf(MIN_CF)}, folded AS ({sp.fold_of('docs')}),
+categories AS (
+    SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS category_idx
+    FROM (SELECT DISTINCT lang AS category FROM documents WHERE lang IS NOT NULL)),
+marked AS (
+    SELECT doc_id, fold, category_idx, list_contains(d.category_list, category) AS y
+    FROM (SELECT doc_id, fold, categories AS category_list FROM folded) d, categories c),
+own AS (
+    SELECT category_idx, y, term_idx, fold, sum(weight) AS w
+    FROM weights JOIN marked USING (doc_id) GROUP BY ALL),
+held AS (SELECT DISTINCT fold AS f FROM folded),
+mass AS (SELECT f, category_idx, y, term_idx, sum(w) AS w FROM own JOIN held ON own.fold <> held.f GROUP BY ALL),
+sides AS (SELECT f, category_idx, y FROM held, categories, (VALUES (true), (false)) s(y)),
+totals AS (
+    SELECT s.f, s.category_idx, s.y, coalesce(sum(w), 0) + (SELECT count(*) FROM dictionary) AS z
+    FROM sides s LEFT JOIN mass m ON s.category_idx = m.category_idx AND s.y = m.y AND s.f = m.f GROUP BY ALL),
+priors AS (
+    SELECT f, category_idx, y, count(*) AS n FROM marked JOIN held ON fold <> f GROUP BY ALL),
+evidence AS (
+    SELECT t.doc_id, t.category_idx, s.y, sum(weight * ln((coalesce(w, 0) + 1) / z)) AS ll
+    FROM marked t JOIN weights USING (doc_id)
+    JOIN totals s ON s.category_idx = t.category_idx AND s.f = t.fold
+    LEFT JOIN mass m ON m.category_idx = s.category_idx AND m.y = s.y AND m.f = s.f
+        AND m.term_idx = weights.term_idx
+    GROUP BY ALL)
+SELECT t.doc_id, CAST(t.fold AS INTEGER) AS fold, t.category_idx, CAST(t.y AS DOUBLE) AS label,
+       round(ln(p1.n) + coalesce(e1.ll, 0) - ln(p0.n) - coalesce(e0.ll, 0), 5) + 0.0 AS score
+FROM marked t
+JOIN priors p1 ON p1.category_idx = t.category_idx AND p1.f = t.fold AND p1.y
+JOIN priors p0 ON p0.category_idx = t.category_idx AND p0.f = t.fold AND NOT p0.y
+LEFT JOIN evidence e1 ON e1.doc_id = t.doc_id AND e1.category_idx = t.category_idx AND e1.y
+LEFT JOIN evidence e0 ON e0.doc_id = t.doc_id AND e0.category_idx = t.category_idx AND NOT e0.y"""
+
+
+@query("multinomial_nb_folds", f"WITH {sql_mnb_folds()}")
+def multinomial_folds(spark, sf_dir):
+    """Every document's language, predicted from the other nine folds; all languages of the table."""
+    docs = materialize(
+        assign_folds(tables.docs(spark, sf_dir).select("doc_id", "categories")), "docs"
+    )
+    long = stored_bags(spark, sf_dir)
+    dictionary = bags.term_index(bags.word_dictionary(long, MIN_CF))
+    weights = bags.tfidf(long, dictionary, docs).join(docs.select("doc_id", "fold"), "doc_id")
+    names = tables.languages(spark, sf_dir)
+    found = crossfold.multinomial_nb_folds(materialize(weights, "weights"), docs, materialize(dictionary, "terms"), names)
+    return rounded(found.drop("prediction"), 5)
+
+
+SQL_GNB_FOLDS = f"""{sp.LONG_POINTS}, {sp.POINT_CATEGORIES}, held AS (SELECT DISTINCT fold AS f FROM long_points),
+smoothing AS (
+    SELECT f, 1e-9 * max(s) AS eps FROM (
+        SELECT f, var_pop(v) AS s FROM long_points JOIN held ON fold <> f GROUP BY f, dim) GROUP BY f),
+gnb_stats AS (
+    SELECT f, c.category_idx, t.category = c.category AS y, dim, avg(v) AS m,
+           var_pop(v) + any_value(eps) AS s, count(*) AS n
+    FROM long_points t JOIN held ON t.fold <> held.f JOIN smoothing USING (f), categories c GROUP BY ALL),
+gnb_lines AS (
+    SELECT t.doc_id, t.fold, t.category, g.category_idx, y,
+           ln(max(n)) - 0.5 * sum(ln(s) + (v - m) ** 2 / s) AS jll
+    FROM long_points t JOIN gnb_stats g ON g.dim = t.dim AND g.f = t.fold GROUP BY ALL),
+gnb AS (
+    SELECT doc_id, fold, category_idx, CAST(l.category = c.category AS DOUBLE) AS label,
+           max(jll) FILTER (WHERE y) - max(jll) FILTER (WHERE NOT y) AS score
+    FROM gnb_lines l JOIN categories c USING (category_idx)
+    GROUP BY doc_id, fold, category_idx, l.category, c.category)"""
+
+
+@query(
+    "gaussian_nb_folds",
+    f"""WITH {SQL_GNB_FOLDS} SELECT doc_id, CAST(fold AS INTEGER) AS fold, category_idx, label, round(score, 5) + 0.0 AS score,
+        CAST(score > 0 AS DOUBLE) AS prediction FROM gnb""",
+)
+def gaussian_folds(spark, sf_dir):
+    """Every vector scored by the model of the other nine folds."""
+    return rounded(crossfold.gaussian_nb_folds(tables.points(spark, sf_dir), NAMES), 5)
+
+
+SQL_AUC = """ranked AS (
+    SELECT category_idx, label, rank() OVER w + (count(*) OVER (PARTITION BY category_idx, score) - 1) / 2.0 AS r
+    FROM {0} WINDOW w AS (PARTITION BY category_idx ORDER BY score)),
+sides AS (
+    SELECT category_idx, sum(r) FILTER (WHERE label = 1) AS ranks,
+           count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives
+    FROM ranked GROUP BY category_idx)
+SELECT CAST(category_idx AS INTEGER) AS category_idx, positives, negatives,
+       round((ranks - positives * (positives + 1) / 2.0) / (positives * negatives), 6) AS auc FROM sides"""
+
+
+@query("gaussian_nb_auc", f"WITH {SQL_GNB_FOLDS}, {SQL_AUC.format('gnb')}")
+def gaussian_auc(spark, sf_dir):
+    """Area under the curve per category over all ten held-out folds."""
+    return rounded(metrics.area_under_curve(crossfold.gaussian_nb_folds(tables.points(spark, sf_dir), NAMES)))
+
+
 @query(
     "pca_rotation",
     f"""WITH {sp.LONG_POINTS}, means AS (
@@ -405,6 +501,26 @@ for _name in [*FITTED, "adaboost"]:
     QUERIES[_name] = _fitted(LEARNERS[_name])
 
 
+@query("logistic_regression_joint")
+def logistic_regression_joint(spark, sf_dir):
+    """All categories in one optimiser; the same models as ``logistic_regression``."""
+    return joint.logistic_regression(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)
+
+
+@query("knn_auc", f"WITH {SQL_KNN}, {SQL_AUC.format('(SELECT * REPLACE (round(score, 9) AS score) FROM knn)')}")
+def knn_auc(spark, sf_dir):
+    """Area under the curve of votes, where most scores are ties."""
+    votes = knn(scaled_points(spark, sf_dir), NAMES, TEST_FOLD).withColumn("score", F.round("score", 9))
+    return rounded(metrics.area_under_curve(votes))
+
+
+@query("gradient_boost_auc")
+def gradient_boost_auc(spark, sf_dir):
+    """The measure that the boosted depth-2 trees are tuned by, on the held-out fold."""
+    learner = LEARNERS["gradient_boost_depth2"]
+    return rounded(metrics.area_under_curve(learner(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)))
+
+
 @query("news_logistic_regression")
 def news_logistic_regression(spark, sf_dir):
     """Text to report: TF-IDF, components, scaling, one model per language."""

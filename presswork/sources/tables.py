@@ -51,5 +51,11 @@ def points(spark: SparkSession, sf_dir: str, folds: int = 10) -> DataFrame:
     return assign_folds(rows, folds)
 
 
+def languages(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All languages of the documents, in order: a category list, so a short one."""
+    found = table(spark, sf_dir, "documents").where("lang is not null").select("lang").distinct()
+    return sorted(r["lang"] for r in found.collect())
+
+
 # The ten label values of the embeddings table, as category names.
 POINT_CATEGORIES = [f"c{i}" for i in range(10)]
