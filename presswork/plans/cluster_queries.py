@@ -17,7 +17,6 @@ from presswork.operators.categories import select_categories, category_counts, s
 from presswork.operators.neighbors import points_of
 from presswork.plans import sql_parts as sp
 from presswork.plans.learn_queries import (
-    LANGS,
     long_features,
     plane_points,
     rounded,
@@ -245,7 +244,7 @@ def stream_word_counts(spark, sf_dir):
 
 SQL_STREAM_NB = f"""{sp.tfidf(MIN_CF)}, categories AS (
     SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS category_idx
-    FROM (VALUES ('de'), ('en'), ('es'), ('fr')) t(category))"""
+    FROM (SELECT DISTINCT lang AS category FROM documents WHERE lang IS NOT NULL))"""
 
 
 @query(
@@ -260,7 +259,7 @@ def stream_multinomial_nb(spark, sf_dir):
     path = scratch_path(spark, "rows")
     rows.write.parquet(path)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
-    sums = incremental.run_to_table(incremental.stream_multinomial_nb(stream, LANGS))
+    sums = incremental.run_to_table(incremental.stream_multinomial_nb(stream, tables.languages(spark, sf_dir)))
     return rounded(sums)
 
 

@@ -23,8 +23,7 @@ from presswork.session import materialize
 from presswork.sources import tables
 
 TEST_FOLD = 2
-NAMES = tables.POINT_CATEGORIES
-LANGS = ["de", "en", "es", "fr"]
+PLOTTED = "c0"  # the category of the plots over the plane
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -212,13 +211,13 @@ REPORT_COLUMNS = """CAST(category_idx AS INTEGER) AS category_idx, round(precisi
         FROM gnb""",
 )
 def gaussian(spark, sf_dir):
-    return rounded(gaussian_nb(scaled_points(spark, sf_dir), NAMES, TEST_FOLD))
+    return rounded(gaussian_nb(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD))
 
 
 SQL_MNB = f"""{sp.tfidf(MIN_CF)}, folded AS ({sp.fold_of('docs')}),
 categories AS (
     SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS category_idx
-    FROM (VALUES ('de'), ('en'), ('es'), ('fr')) t(category)),
+    FROM (SELECT DISTINCT lang AS category FROM documents WHERE lang IS NOT NULL)),
 marked AS (
     SELECT doc_id, fold, category_idx, list_contains(categories.category_list, category) AS y
     FROM (SELECT doc_id, fold, categories AS category_list FROM folded) categories, categories c),
@@ -263,7 +262,7 @@ def multinomial(spark, sf_dir):
     long = stored_bags(spark, sf_dir)
     dictionary = bags.term_index(bags.word_dictionary(long, MIN_CF))
     weights = bags.tfidf(long, dictionary, docs).join(docs.select("doc_id", "fold"), "doc_id")
-    return rounded(multinomial_nb(materialize(weights, "weights"), docs, dictionary, LANGS, TEST_FOLD))
+    return rounded(multinomial_nb(materialize(weights, "weights"), docs, dictionary, tables.languages(spark, sf_dir), TEST_FOLD))
 
 
 def sql_mnb_folds() -> str:
@@ -342,7 +341,7 @@ gnb AS (
 )
 def gaussian_folds(spark, sf_dir):
     """Every vector scored by the model of the other nine folds."""
-    return rounded(crossfold.gaussian_nb_folds(tables.points(spark, sf_dir), NAMES), 5)
+    return rounded(crossfold.gaussian_nb_folds(tables.points(spark, sf_dir), tables.point_categories(spark, sf_dir)), 5)
 
 
 SQL_AUC = """ranked AS (
@@ -359,7 +358,7 @@ SELECT CAST(category_idx AS INTEGER) AS category_idx, positives, negatives,
 @query("gaussian_nb_auc", f"WITH {SQL_GNB_FOLDS}, {SQL_AUC.format('gnb')}")
 def gaussian_auc(spark, sf_dir):
     """Area under the curve per category over all ten held-out folds."""
-    return rounded(metrics.area_under_curve(crossfold.gaussian_nb_folds(tables.points(spark, sf_dir), NAMES)))
+    return rounded(metrics.area_under_curve(crossfold.gaussian_nb_folds(tables.points(spark, sf_dir), tables.point_categories(spark, sf_dir))))
 
 
 @query(
@@ -380,7 +379,7 @@ def pca_rotation(spark, sf_dir):
 
 @query("linear_discriminant")
 def discriminant(spark, sf_dir):
-    return linear_discriminant(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)
+    return linear_discriminant(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD)
 
 
 # ------------------------------------------------------------------ neighbours
@@ -421,7 +420,7 @@ knn AS (
     f"WITH {SQL_KNN} SELECT doc_id, category_idx, label, round(score, 6) AS score, prediction FROM knn",
 )
 def knn_votes(spark, sf_dir):
-    return rounded(knn(scaled_points(spark, sf_dir), NAMES, TEST_FOLD))
+    return rounded(knn(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD))
 
 
 def _sql_bagging(members: int = 10, size: int = 10, d: int = 64, seed: int = 42) -> str:
@@ -461,7 +460,7 @@ SELECT doc_id, category_idx, CAST(y AS DOUBLE) AS label, round(score, 6) AS scor
 
 @query("bagging_knn", f"WITH {_sql_bagging()}")
 def bagged(spark, sf_dir):
-    votes = bagging_knn(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)
+    votes = bagging_knn(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD)
     settled = votes.withColumn("prediction", (F.round("score", 9) > 0.5).cast("double"))
     return rounded(settled)
 
@@ -492,7 +491,7 @@ LEARNERS = {
 def _fitted(learner):
     def run(spark, sf_dir):
         """Predictions for the held-out fold, one row per document and category."""
-        return learner(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)
+        return learner(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD)
 
     return run
 
@@ -504,13 +503,13 @@ for _name in [*FITTED, "adaboost"]:
 @query("logistic_regression_joint")
 def logistic_regression_joint(spark, sf_dir):
     """All categories in one optimiser; the same models as ``logistic_regression``."""
-    return joint.logistic_regression(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)
+    return joint.logistic_regression(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD)
 
 
 @query("knn_auc", f"WITH {SQL_KNN}, {SQL_AUC.format('(SELECT * REPLACE (round(score, 9) AS score) FROM knn)')}")
 def knn_auc(spark, sf_dir):
     """Area under the curve of votes, where most scores are ties."""
-    votes = knn(scaled_points(spark, sf_dir), NAMES, TEST_FOLD).withColumn("score", F.round("score", 9))
+    votes = knn(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD).withColumn("score", F.round("score", 9))
     return rounded(metrics.area_under_curve(votes))
 
 
@@ -518,14 +517,14 @@ def knn_auc(spark, sf_dir):
 def gradient_boost_auc(spark, sf_dir):
     """The measure that the boosted depth-2 trees are tuned by, on the held-out fold."""
     learner = LEARNERS["gradient_boost_depth2"]
-    return rounded(metrics.area_under_curve(learner(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)))
+    return rounded(metrics.area_under_curve(learner(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD)))
 
 
 @query("news_logistic_regression")
 def news_logistic_regression(spark, sf_dir):
     """Text to report: TF-IDF, components, scaling, one model per language."""
     data = scaling.standard_scale(reduced_docs(spark, sf_dir), TEST_FOLD)
-    predictions = LEARNERS["logistic_regression"](data, LANGS, TEST_FOLD)
+    predictions = LEARNERS["logistic_regression"](data, tables.languages(spark, sf_dir), TEST_FOLD)
     return rounded(metrics.classification_report(predictions))
 
 
@@ -533,7 +532,7 @@ def news_logistic_regression(spark, sf_dir):
 def mlp_tfidf(spark, sf_dir):
     """The perceptron on documents, through the reduced TF-IDF input."""
     data = scaling.standard_scale(reduced_docs(spark, sf_dir), TEST_FOLD)
-    return LEARNERS["mlp"](data, LANGS, TEST_FOLD)
+    return LEARNERS["mlp"](data, tables.languages(spark, sf_dir), TEST_FOLD)
 
 
 # ------------------------------------------------------------------- reporting
@@ -546,13 +545,13 @@ def mlp_tfidf(spark, sf_dir):
 )
 def threshold_score(spark, sf_dir):
     """Any score column can be cut anew; here two of five votes suffice."""
-    scores = knn(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)
+    scores = knn(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD)
     cut = metrics.threshold_score(F.round("score", 9), 0.4)
     return scores.select("doc_id", "category_idx", cut.alias("prediction"))
 
 
 def gnb_predictions(spark, sf_dir) -> DataFrame:
-    return gaussian_nb(scaled_points(spark, sf_dir), NAMES, TEST_FOLD)
+    return gaussian_nb(scaled_points(spark, sf_dir), tables.point_categories(spark, sf_dir), TEST_FOLD)
 
 
 @query(
@@ -614,7 +613,7 @@ def compare(spark, sf_dir):
     """Two learners on one split; the fit seconds are left out of the comparison."""
     learners = {name: LEARNERS[name] for name in ("gaussian_nb", "knn")}
     data = materialize(scaled_points(spark, sf_dir), "scaled")
-    return rounded(compare_classifiers(learners, data, NAMES, TEST_FOLD).drop("fit_seconds"))
+    return rounded(compare_classifiers(learners, data, tables.point_categories(spark, sf_dir), TEST_FOLD).drop("fit_seconds"))
 
 
 SQL_RESUBSTITUTION = f"{SQL_PLANE}, {sql_gaussian('plane', 'true', 'true')}"
@@ -627,7 +626,7 @@ SQL_RESUBSTITUTION = f"{SQL_PLANE}, {sql_gaussian('plane', 'true', 'true')}"
 def resubstitution_report(spark, sf_dir):
     """Fitted and scored on all rows of the first two dimensions in [0, 1]."""
     return rounded(
-        metrics.classification_report(gaussian_nb(plane_points(spark, sf_dir), NAMES, None))
+        metrics.classification_report(gaussian_nb(plane_points(spark, sf_dir), tables.point_categories(spark, sf_dir), None))
     )
 
 
@@ -636,7 +635,7 @@ def resubstitution_boosting(spark, sf_dir):
     """AdaBoost and boosted stumps for one category on two dimensions."""
     data = materialize(plane_points(spark, sf_dir), "plane")
     learners = {name: LEARNERS[name] for name in ("adaboost", "gradient_boost_stumps")}
-    return compare_classifiers(learners, data, [NAMES[0]], None).drop("fit_seconds")
+    return compare_classifiers(learners, data, [PLOTTED], None).drop("fit_seconds")
 
 
 # ------------------------------------------------------------------- plot data
@@ -647,7 +646,7 @@ SQL_PLANE_LDA = f"""{SQL_PLANE}, xy AS (
     SELECT doc_id, category, max(v) FILTER (WHERE dim = 0) AS x, max(v) FILTER (WHERE dim = 1) AS y
     FROM plane GROUP BY doc_id, category),
 lda_sides AS (
-    SELECT category = 'c0' AS pos, count(*) AS n, avg(x) AS mx, avg(y) AS my,
+    SELECT category = '{PLOTTED}' AS pos, count(*) AS n, avg(x) AS mx, avg(y) AS my,
            var_pop(x) * count(*) AS sxx, var_pop(y) * count(*) AS syy,
            covar_pop(x, y) * count(*) AS sxy FROM xy GROUP BY 1),
 lda_sums AS (
@@ -659,7 +658,7 @@ lda_weights AS (
     SELECT *, (c * (mx1 - mx0) - b * (my1 - my0)) / (a * c - b * b) AS wx,
            (a * (my1 - my0) - b * (mx1 - mx0)) / (a * c - b * b) AS wy FROM lda_sums),
 lda AS (
-    SELECT doc_id, CAST(0 AS INTEGER) AS category_idx, CAST(category = 'c0' AS DOUBLE) AS label,
+    SELECT doc_id, CAST(0 AS INTEGER) AS category_idx, CAST(category = '{PLOTTED}' AS DOUBLE) AS label,
            prior + wx * (x - (mx1 + mx0) / 2) + wy * (y - (my1 + my0) / 2) AS score
     FROM xy, lda_weights)"""
 
@@ -671,7 +670,7 @@ lda AS (
 )
 def plane_discriminant(spark, sf_dir):
     """Discriminant of one category on the unit square, fitted on all rows."""
-    return rounded(linear_discriminant(plane_points(spark, sf_dir), [NAMES[0]], None))
+    return rounded(linear_discriminant(plane_points(spark, sf_dir), [PLOTTED], None))
 
 
 @query(
@@ -681,7 +680,7 @@ def plane_discriminant(spark, sf_dir):
                count(*) AS n FROM lda, r GROUP BY ALL""",
 )
 def score_histogram(spark, sf_dir):
-    scores = linear_discriminant(plane_points(spark, sf_dir), [NAMES[0]], None)
+    scores = linear_discriminant(plane_points(spark, sf_dir), [PLOTTED], None)
     return metrics.score_histogram(materialize(scores, "scores"))
 
 
@@ -721,5 +720,5 @@ def decision_grid(spark, sf_dir):
         "categories",
         F.lit(0).alias("fold"),
     )
-    scored = gaussian_nb(rows.unionByName(mesh), [NAMES[0]], 1)
+    scored = gaussian_nb(rows.unionByName(mesh), [PLOTTED], 1)
     return scored.select("doc_id.ix", "doc_id.iy", "prediction")

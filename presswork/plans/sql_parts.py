@@ -104,4 +104,6 @@ LONG_POINTS = f"""{POINTS}, long_points AS (
     SELECT doc_id, fold, category, i - 1 AS dim, x[i] AS v
     FROM points, (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM points))) AS i))"""
 
-POINT_CATEGORIES = "categories AS (SELECT concat('c', r) AS category, CAST(r AS INTEGER) AS category_idx FROM range(10) t(r))"
+POINT_CATEGORIES = """categories AS (
+    SELECT concat('c', label) AS category, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS category_idx
+    FROM (SELECT DISTINCT label FROM embeddings WHERE label IS NOT NULL))"""

@@ -57,5 +57,7 @@ def languages(spark: SparkSession, sf_dir: str) -> list[str]:
     return sorted(r["lang"] for r in found.collect())
 
 
-# The ten label values of the embeddings table, as category names.
-POINT_CATEGORIES = [f"c{i}" for i in range(10)]
+def point_categories(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All categories of the embeddings, in the order of their labels: a category list, so a short one."""
+    found = table(spark, sf_dir, "embeddings").where("label is not null").select("label").distinct()
+    return [f"c{label}" for label in sorted(r["label"] for r in found.collect())]
