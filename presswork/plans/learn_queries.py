@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from presswork.learners import crossfold, estimators, joint
 from presswork.learners.bayes import gaussian_nb, multinomial_nb
-from presswork.learners.boosting import adaboost
 from presswork.learners.discriminant import linear_discriminant
+from presswork.learners.joint_boost import adaboost
 from presswork.learners.knn import bagging_knn, feature_draw, knn
 from presswork.learners.relevance import binary_relevance, compare_classifiers
 from presswork.operators import bags, metrics, plotdata, reduce, scaling
