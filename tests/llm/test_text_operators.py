@@ -164,6 +164,51 @@ def test_line_dedup(spark, docs):
     assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_that_share_a_hash_are_told_apart(spark, docs):
+    weak = lambda keys: np.array([len(k) % 3 for k in keys], np.uint64)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    rows += [(20 + i, f"own line number {i}\nanother one of its own\nown line number {i % 3}") for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for hashed in (weak, line_dedup._hashes):
+        got = line_dedup.drop_repeated_lines(frame, hashed).collect()
+        assert sorted(map(tuple, ((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in got)), key=repr) == (
+            brute_lines(frame.collect())
+        )
+
+
+def test_line_dedup_of_string_ids_and_clashing_names(spark):
+    rows = [(f"d{i}", "one line of ten and more\nown words of %d, too" % i, "x", "y") for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, __gone string, __id string")
+    got = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(frame).collect()}
+    assert [got[f"d{i}"]["n_dropped"] for i in range(9)] == [0] + [1] * 8
+    assert all(r["__gone"] == "x" and r["__id"] == "y" for r in got.values())
+
+
+def test_a_line_that_is_everywhere(spark, monkeypatch):
+    rows = [(i, f"a line that everybody has\nline of its own, the {i}th") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    for buffered in (1, 1 << 20):
+        monkeypatch.setattr(line_dedup, "BUFFERED", buffered)
+        got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.drop_repeated_lines(frame).collect()}
+        assert got == {i: int(i > 0) for i in range(400)}
+
+
+def test_filters_stay_as_empty_at_any_volume():
+    for volume in (0, 10**6, 3 * 10**10, 10**12, 10**14):
+        n, size = line_dedup.layout(volume)
+        assert n * size >= volume / 8 and line_dedup.SEGMENT_BITS <= size <= line_dedup.LARGEST_SEGMENT
+
+
+def test_suspects_are_few_in_a_filter_loaded_as_at_any_volume():
+    rng = np.random.default_rng(7)
+    for size in (line_dedup.SEGMENT_BITS, line_dedup.LARGEST_SEGMENT):
+        own = line_dedup.TwoFilters(size)
+        hashes = np.unique(rng.integers(0, 1 << 63, size // 12).astype(np.uint64) * np.uint64(2))
+        for part in np.array_split(hashes, 7):
+            own.add(part)
+        assert own.suspects(hashes).mean() < 0.1
+
+
 def test_filters_have_no_false_negatives():
     rng = np.random.default_rng(1)
     own = line_dedup.TwoFilters(line_dedup.SEGMENT_BITS)
