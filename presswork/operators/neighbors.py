@@ -183,6 +183,18 @@ def knn_join(
     distinct = queries.groupBy("vec").agg(F.min("id").alias("id"))
     reach = materialize(candidate_cells(distinct, cells, k=want), "reach")
 
+    hits = block_join(
+        reach,
+        assigned.select("id", "vec", "cell"),
+        nearest_rows(want),
+        f"id {_id_type(queries)}, neighbor {_id_type(points)}, distance double",
+    )
+    return lists_of_all(top_k(hits, want), distinct, queries, k, exclude_self)
+
+
+def nearest_rows(want: int):
+    """Kernel for ``block_join``: the ``want`` nearest points of every query of a block."""
+
     def nearest(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:
             return pd.DataFrame({"id": [], "neighbor": [], "distance": []})
@@ -208,14 +220,11 @@ def knn_join(
         found = pd.concat(parts).sort_values(["id", "distance", "neighbor"])
         return found[found.groupby("id").cumcount() < want]
 
-    hits = block_join(
-        reach,
-        assigned.select("id", "vec", "cell"),
-        nearest,
-        f"id {_id_type(queries)}, neighbor {_id_type(points)}, distance double",
-    )
-    best = top_k(hits, want)
-    # Every query takes over the list of the one that stands for its vector.
+    return nearest
+
+
+def lists_of_all(best: DataFrame, distinct: DataFrame, queries: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """Every query takes over the list of the one of ``distinct`` that stands for its vector."""
     lists = best.groupBy("id").agg(F.collect_list(F.struct("neighbor", "distance")).alias("l"))
     by_vector = distinct.join(lists, "id").select("vec", "l")
     rows = queries.select("id", "vec").join(by_vector, "vec").select("id", F.inline("l"))

@@ -16,6 +16,7 @@ from presswork.learners.relevance import binary_relevance, compare_classifiers
 from presswork.operators import bags, metrics, plotdata, reduce, scaling
 from presswork.operators.categories import has_category
 from presswork.operators.folds import assign_folds, train_folds, held_out_fold
+from presswork.operators.approximate import approximate_knn_join
 from presswork.operators.neighbors import knn_join, points_of
 from presswork.plans import sql_parts as sp
 from presswork.plans.text_queries import MIN_CF, stored_bags
@@ -402,6 +403,12 @@ def nearest_neighbors(spark, sf_dir):
     return rounded(knn_join(points_of(test), points_of(train), 5))
 
 
+@query("approximate_neighbors")
+def approximate_neighbors(spark, sf_dir):
+    points = materialize(points_of(tables.points(spark, sf_dir)), "points")
+    return rounded(approximate_knn_join(points.where("id % 50 = 0"), points, 5, exclude_self=True))
+
+
 SQL_KNN = f"""{SQL_SCALED}, {sp.POINT_CATEGORIES}, packed AS (
     SELECT doc_id, fold, category, list(v ORDER BY dim) AS z FROM scaled GROUP BY ALL),
 near AS (
