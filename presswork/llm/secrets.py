@@ -1,17 +1,19 @@
 """Secret scans: fixed rules, and a character convolutional network beside them.
 
 The rules find assignments, access keys and long hexadecimal strings. The network
-looks at every candidate, a run of token characters with a digit, together with the
-characters around it, and learns from the rules' findings: candidates that a
-finding covers are positive, all others negative. It reads characters through an
+looks at every candidate, a run of eight or more of the rules' characters that holds
+a digit or meets a finding, together with the characters around it, and learns from
+the rules' findings: candidates that meet one are positive, all others negative. So
+every finding has a candidate. Long ones are looked at piece by piece, the whole of them. It reads characters through an
 embedding, convolves, takes the maximum over the window and ends in one logit.
-A part of the labelled candidates is kept out of training: on it the logits are
-calibrated to probabilities, and the threshold is the highest that still recalls
-``RECALL`` of its findings. Candidates at or above it that no rule covers become
+A fifth of the windows, by their hash, is kept out of training: all candidates that
+show one of these are scored, counts of their logits calibrate probabilities, and the
+threshold is the highest that still recalls ``RECALL`` of the positive ones. Candidates at or above it that no rule covers become
 findings of kind ``model``.
 
-Training takes at most ``SAMPLE`` candidates of either label, those with the least
-hashes; every candidate of every text is scored.
+Training takes at most ``SAMPLE`` windows of either label, those with the least
+hashes; calibration and threshold take every candidate held out, and every candidate
+of every text is scored. Where a label is missing on either side, all are on both.
 
 Defined cases: a null or empty text has no findings; places count code points, ends
 are exclusive; rows are scanned one by one, a null doc_id like any other; without
@@ -39,11 +41,14 @@ LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "model")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
+CANDIDATE = r"[A-Za-z0-9+/_.=-]{8,}"
 BEFORE, INSIDE, AFTER = 24, 40, 8
 WINDOW = BEFORE + INSIDE + AFTER
 ALPHABET = 98  # printable ASCII, line end, other, outside of the text
 SAMPLE = 3000
+# One window in so many is held out; logits are counted in steps of 1 / STEPS up to MAX_LOGIT.
+HELD = 5
+STEPS, MAX_LOGIT = 64, 64
 RECALL = 0.99
 EMBED, FILTERS, WIDTH = 12, 24, 5
 EPOCHS = 4
@@ -66,15 +71,29 @@ def base_spans(text: str, lower: bytes) -> list[tuple[int, int, int]]:
     return sorted(spans, key=lambda s: (s[0], s[2]))
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    return [(m.start(), m.end()) for m in _candidate.finditer(text) if _digit.search(m[0])]
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
+    """``(start, end, known)`` of runs with a digit, and of all that meet one of the sorted ``spans``."""
+    found, reach, at = [], -1, 0
+    for m in _candidate.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            reach = max(reach, spans[at][1])
+            at += 1
+        known = reach > m.start()
+        if known or _digit.search(m[0]):
+            found.append((m.start(), m.end(), known))
+    return found
 
 
-def window(text: str, start: int, end: int) -> bytes:
-    """Character classes before, inside and after a candidate; long ones show both ends."""
-    inside = text[start:end]
-    if len(inside) > INSIDE:
-        inside = inside[: INSIDE // 2] + inside[-(INSIDE - INSIDE // 2) :]
+def windows(text: str, start: int, end: int) -> list[bytes]:
+    """The windows of a candidate: one for each ``INSIDE`` characters, the last one ends with it."""
+    cuts = [*range(start, max(start, end - INSIDE), INSIDE), max(start, end - INSIDE)]
+    return [window(text, start, end, cut) for cut in cuts]
+
+
+def window(text: str, start: int, end: int, cut: int | None = None) -> bytes:
+    """Character classes before a candidate, inside it from ``cut`` on, and after it."""
+    cut = start if cut is None else cut
+    inside = text[cut : min(end, cut + INSIDE)]
     before = text[max(0, start - BEFORE) : start]
     after = text[end : end + AFTER]
     pad = bytes([ALPHABET - 1])
@@ -102,13 +121,9 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans.append([{"start": s, "end": e, "kind": k} for s, e, k in own])
             found.append(
                 [
-                    {
-                        "start": s,
-                        "end": e,
-                        "known": any(a < e and s < b for a, b, _ in own),
-                        "window": window(text, s, e),
-                    }
-                    for s, e in candidates(text)
+                    {"start": s, "end": e, "known": known, "window": piece}
+                    for s, e, known in candidates(text, own)
+                    for piece in windows(text, s, e)
                 ]
             )
         yield pa.RecordBatch.from_arrays(
@@ -182,43 +197,66 @@ class CharNet:
                     setattr(self, n, getattr(self, n) - np.float32(rate) * g[n] / (np.sqrt(square[n]) + np.float32(1e-6)))
 
     def calibrate(self, chars: np.ndarray, labels: np.ndarray, recall: float = RECALL) -> None:
-        """Platt scaling, then the highest threshold that recalls enough of the findings."""
-        z = self.logits(chars).astype(float)
+        labels = np.asarray(labels, bool)
+        self.calibrate_counts(self.logits(chars).astype(float), labels * 1.0, ~labels * 1.0, recall)
+
+    def calibrate_counts(self, z: np.ndarray, positive: np.ndarray, negative: np.ndarray, recall: float = RECALL):
+        """Platt scaling of logits with their counts, then the highest threshold that recalls enough."""
+        total = positive + negative
+        share, rate = total / total.sum(), positive / total
         a, b = 1.0, 0.0
         for _ in range(200):
             p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            error = p - labels
-            spread = p * (1 - p)
-            h = np.array([[(spread * z * z).mean(), (spread * z).mean()], [(spread * z).mean(), spread.mean()]])
+            error, spread = share * (p - rate), share * p * (1 - p)
+            h = np.array([[(spread * z * z).sum(), (spread * z).sum()], [(spread * z).sum(), spread.sum()]])
             h += 1e-3 * np.eye(2)
-            step = np.linalg.solve(h, [(error * z).mean() + 1e-3 * (a - 1), error.mean()])
+            step = np.linalg.solve(h, [(error * z).sum() + 1e-3 * (a - 1), error.sum()])
             a, b = a - 0.5 * step[0], b - 0.5 * step[1]
         self.scale, self.shift = float(a), float(b)
-        positive = np.sort(self.probabilities(chars)[labels])
-        self.threshold = float(positive[int(np.floor((1 - recall) * len(positive)))])
+        chances = 1 / (1 + np.exp(-(self.scale * z + self.shift)))
+        order = np.argsort(chances, kind="stable")
+        lost = np.cumsum(positive[order]) - positive[order]
+        allowed = (lost <= (1 - recall) * positive.sum()) & (positive[order] > 0)
+        self.threshold = float(chances[order][allowed][-1])
 
 
 def _as_array(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW)
 
 
+def _logit_steps(shared):
+    """``(known, step)``: the logit of every row, in whole steps, rounded down."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                z = shared.value.logits(_as_array(batch.column(1).to_pylist()))
+                steps = np.floor(np.clip(z, -MAX_LOGIT, MAX_LOGIT) * STEPS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(steps)], names=["known", "step"])
+
+    return run
+
+
 def train(scanned: DataFrame, sample: int = SAMPLE) -> CharNet | None:
-    """Fit on ``sample`` candidates per label at most; a fifth of them calibrates."""
+    """Fit on ``sample`` windows per label at most; all candidates that are held out calibrate."""
     each = scanned.select(F.explode("candidates").alias("c")).select("c.known", "c.window")
-    each = each.distinct().withColumn("order", F.md5("window"))
+    each = each.withColumn("held", F.crc32("window") % HELD == 0)
+    sides = {(r["known"], r["held"]) for r in each.select("known", "held").distinct().collect()}
+    if len({known for known, _ in sides}) < 2:
+        return None
+    whole = len(sides) < 4
+    fitted = (each if whole else each.where("not held")).select("known", "window").distinct()
     rows = []
     for known in (True, False):
-        own = each.where(F.col("known") == known).orderBy("order", "window").limit(sample).collect()
-        rows += [(bytes(r["window"]), known, int(r["order"][:4], 16) % 5 == 0) for r in own]
-    held = [r for r in rows if r[2]] or rows
-    fitted = [r for r in rows if not r[2]] or rows
-    if not all(len({r[1] for r in part}) == 2 for part in (held, fitted)):
-        held = fitted = rows
-    if len({r[1] for r in rows}) < 2:
-        return None
+        own = fitted.where(F.col("known") == known).orderBy(F.md5("window"), "window").limit(sample).collect()
+        rows += [(bytes(r["window"]), known) for r in own]
     net = CharNet()
-    net.fit(_as_array([r[0] for r in fitted]), np.array([r[1] for r in fitted]))
-    net.calibrate(_as_array([r[0] for r in held]), np.array([r[1] for r in held]))
+    net.fit(_as_array([r[0] for r in rows]), np.array([r[1] for r in rows]))
+    judged = (each if whole else each.where("held")).select("known", "window")
+    scored = judged.mapInArrow(_logit_steps(scanned.sparkSession.sparkContext.broadcast(net)), "known boolean, step int")
+    counts = scored.groupBy("step").agg(F.count_if("known").alias("yes"), F.count_if(~F.col("known")).alias("no"))
+    z, yes, no = np.array(counts.orderBy("step").collect(), float).T
+    net.calibrate_counts(z / STEPS, yes, no)
     return net
 
 
@@ -235,8 +273,9 @@ def _judged(shared):
             if net is not None and new:
                 p = net.probabilities(_as_array([c["window"] for _, c in new]))
                 for (i, c), score in zip(new, p):
-                    if score >= net.threshold:
-                        added[i].append({"start": c["start"], "end": c["end"], "kind": 3})
+                    found = {"start": c["start"], "end": c["end"], "kind": 3}
+                    if score >= net.threshold and found not in added[i][-1:]:
+                        added[i].append(found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(added, pa.list_(span))],
                 names=["doc_id", "spans", "added"],
