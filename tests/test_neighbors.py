@@ -114,3 +114,20 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(got[i] == 0 for i in range(30))
     assert all(got[i] == i for i in range(30, 40))
     assert all(got[i] == 40 for i in range(40, 60))
+
+
+def test_queries_that_meet_every_cell_go_to_groups(spark, monkeypatch):
+    """In many dimensions each row was copied to every cell, so copies grew with the square root of the rows."""
+    monkeypatch.setattr(neighbors, "MEETINGS", 3)
+    monkeypatch.setattr(neighbors, "BLOCK", 100)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 24))
+    points = table(spark, x)
+    pivots = neighbors.choose_pivots(points, len(x))
+    assigned = neighbors.assign_cells(points, pivots)
+    cells = neighbors.summarise(assigned, pivots, 6)
+    left, right, size = neighbors.meetings(points, assigned.select("id", "vec", "cell"), cells, k=6)
+    assert size == {"block": 250} and right.select("cell").distinct().count() <= 6
+    assert left.count() <= 6 * len(x) and right.count() == len(x)
+    got = lists(neighbors.knn_join(points, points, 5, exclude_self=True))
+    assert got == brute(x, range(600), x, range(600), 5, skip_self=True)
