@@ -131,3 +131,30 @@ def test_queries_that_meet_every_cell_go_to_groups(spark, monkeypatch):
     assert left.count() <= 6 * len(x) and right.count() == len(x)
     got = lists(neighbors.knn_join(points, points, 5, exclude_self=True))
     assert got == brute(x, range(600), x, range(600), 5, skip_self=True)
+
+
+def test_dbscan_in_groups_and_runs(spark, monkeypatch):
+    """Clusters cut by groups, by blocks and by runs of rows stay whole; with noise and border points."""
+    from presswork.clustering import dbscan as module
+
+    rng = np.random.default_rng(4)
+    walk = np.cumsum(rng.normal(scale=0.2, size=(300, 12)), axis=0)
+    x = np.concatenate([walk, walk + 50.0, rng.uniform(100, 900, size=(20, 12))])
+    plain = {r["id"]: r["cluster"] for r in dbscan(table(spark, x), 0.9, 4).collect()}
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) <= 0.9
+    core = d.sum(1) >= 4
+    root = np.where(core, np.arange(len(x)), len(x))
+    while True:
+        new = np.where(core, np.where(d & core[None], root[None], len(x)).min(1), len(x))
+        if (new == root).all():
+            break
+        root = new
+    near = np.where(d & core[None], root[None], len(x)).min(1)
+    names = sorted(set(root[core]))
+    want = {i: names.index(near[i]) if near[i] < len(x) else -1 for i in range(len(x))}
+    assert plain == want and len(names) > 1
+    for target, name, value in (
+        (neighbors, "MEETINGS", 1), (neighbors, "BLOCK", 64), (module, "CHUNK_PAIRS", 512),
+    ):
+        monkeypatch.setattr(target, name, value)
+    assert {r["id"]: r["cluster"] for r in dbscan(table(spark, x), 0.9, 4).collect()} == want
