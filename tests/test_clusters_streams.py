@@ -131,3 +131,17 @@ def test_preprocess_with_lexicon_and_stems(spark, tmp_path):
     np.testing.assert_allclose(
         got["1"]["weights"], [2 / 3 * np.log(3 / 1), 1 / 3 * np.log(3 / 2)]
     )
+
+
+def test_a_batch_of_the_pca_stream_writes_its_own_sketch_only(spark, tmp_path):
+    """Each batch used to read and write again all terms of the batches before it."""
+    rows = spark.createDataFrame(
+        [("1", [0, 1], [1.0, 2.0]), ("2", [2], [3.0])], "doc_id string, indices array<int>, weights array<double>"
+    )
+    for doc_id in ("1", "2"):
+        rows.where(F.col("doc_id") == doc_id).coalesce(1).write.mode("append").parquet(str(tmp_path / "rows"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "rows"))
+        whole = incremental.run_stream_pca(stream, 3, 2, folder=str(tmp_path / "b"))
+    assert sorted(r["term_idx"] for r in whole.collect()) == [0, 1, 2]
+    last = spark.read.parquet(incremental._batch_path(str(tmp_path / "b" / "state"), 1))
+    assert [r["term_idx"] for r in last.collect()] == [2]
