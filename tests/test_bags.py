@@ -108,3 +108,23 @@ def test_hot_word_counts(spark):
     found = {r["term"]: (r["df"], r["cf"]) for r in bags.word_dictionary(long).collect()}
     assert found["hot"] == (300, 15000)
     assert sum(v[1] for v in found.values()) == sum(Counter(" ".join(t for _, t in rows).split()).values())
+
+
+def test_the_lexicon_queries_cut_each_text_once(spark, tmp_path, monkeypatch):
+    """The lexicon and what it filters share one pass over the texts."""
+    from presswork.functions import text as tx
+    from presswork.plans import text_queries
+
+    texts = ["Red apples fall", "Red apples rot", "Red apples stay", "one pear", None, ""]
+    rows = [(i, t, "en", "web") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    cuts, tokens = [], tx.tokens
+    monkeypatch.setattr(tx, "tokens", lambda text: cuts.append(text) or tokens(text))
+    found = text_queries.lexicon_filter(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["word"], r["n"]) for r in found} == {(str(i), w, 1) for i in range(3) for w in ("Red", "apples")}
+    assert len(cuts) == 1
+    bag = text_queries.bag_with_lexicon(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["term"], r["tf"], r["doc_len"]) for r in bag} == {(str(i), w, 1, 2) for i in range(3) for w in ("red", "apple")}
+    assert len(cuts) == 2
