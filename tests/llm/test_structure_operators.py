@@ -285,3 +285,17 @@ def test_frequent_table_packs():
     table = {"the": 1, "été": 2, "'s": 1}
     assert token_count.unpacked(*token_count.packed(table)) == table
     assert token_count.unpacked(*token_count.packed({})) == {}
+
+
+def test_counts_do_not_depend_on_the_table_of_pretokens(spark, monkeypatch):
+    """The table sent beforehand only saves time: with none, or with other pre-tokens, the counts are the same."""
+    path = public_tokenizers.path(COUNTED_VOCABULARY)
+    texts = ["The cat's unbelievable hat", "the the THE", "été 2024!", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = token_count.Counter(path)
+    found = []
+    for words in (None, (), ("unbelievable", "zebra")):
+        if words is not None:
+            monkeypatch.setattr(token_count, "frequent_lengths", lambda *_: {w: own.count(w) for w in words})
+        found.append(sorted(map(tuple, token_count.count_tokens(docs, path).collect())))
+    assert found[0] == found[1] == found[2] and [r[2] for r in found[0]] == [own.count(t or "") for t in texts]
