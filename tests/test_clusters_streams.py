@@ -145,3 +145,23 @@ def test_a_batch_of_the_pca_stream_writes_its_own_sketch_only(spark, tmp_path):
     assert sorted(r["term_idx"] for r in whole.collect()) == [0, 1, 2]
     last = spark.read.parquet(incremental._batch_path(str(tmp_path / "b" / "state"), 1))
     assert [r["term_idx"] for r in last.collect()] == [2]
+
+
+def test_a_batch_of_the_bayes_stream_writes_its_own_sums_only(spark, tmp_path, monkeypatch):
+    """Each batch used to hold and write again the sums of all batches before it."""
+    schema = "doc_id string, categories array<string>, indices array<int>, weights array<double>"
+    rows = spark.createDataFrame(
+        [("1", ["a", None], [0, 1], [1.0, 2.0]), ("2", ["b", "a"], [1, 2], [3.0, 0.0]), ("3", [None], [], [])], schema
+    )
+    for doc_id in ("1", "2", "3"):
+        rows.where(F.col("doc_id") == doc_id).coalesce(1).write.mode("append").parquet(str(tmp_path / "rows"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "rows"))
+        whole = incremental.run_stream_multinomial_nb(stream, ["a", "b"], str(tmp_path / "nb"))
+    expected = {(0, 1, 0, 1.0), (0, 1, 1, 5.0), (0, 1, 2, 0.0), (1, None, 0, 1.0), (1, None, 1, 2.0), (1, 1, 1, 3.0), (1, 1, 2, 0.0)}
+    assert {tuple(r) for r in whole.collect()} == expected
+    last = spark.read.parquet(incremental._batch_path(str(tmp_path / "nb" / "out"), 1)).collect()
+    assert {(r["category_idx"], r["label"], r["term_idx"], r["weight"]) for r in last} == {
+        (0, 1, 1, 3.0), (0, 1, 2, 0.0), (1, 1, 1, 3.0), (1, 1, 2, 0.0)
+    }
+    monkeypatch.setattr(incremental, "MAX_COLUMNS", 1)
+    assert {tuple(r) for r in incremental.stream_multinomial_nb(rows, ["a", "b"]).collect()} == expected
