@@ -55,3 +55,12 @@ def test_null_labels_are_refused(spark, rows):
     broken = rows.selectExpr("doc_id", "fold", "features", "array(string(null)) AS categories")
     with pytest.raises(Exception, match="labels must not be null"):
         joint_mlp.mlp(broken, NAMES, max_iter=1)
+
+
+def test_a_vanished_probability_makes_the_loss_no_number():
+    class Shared:
+        value = np.array([[0.0, 0.0, 0.0, 0.0, -500.0, 500.0]]), [0]
+
+    block = np.ones(1).tobytes(), np.ones(1, np.uint8).tobytes()
+    (found,) = joint_mlp.partial(Shared, 1, 1, 1)([block])
+    assert np.isnan(found[0, -1])
