@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from presswork.learners.bayes import NEVER, gaussian_weights
 from presswork.learners.moments import ClassMoments, carried_categories
@@ -101,21 +101,50 @@ def gaussian_nb_folds(data: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
+def _kind() -> Column:
+    return F.md5(F.to_json(F.struct("times", "marks"))).alias("kind")
+
+
+def doc_kinds(docs: DataFrame, names: list[str]) -> DataFrame:
+    """One row per ``doc_id``: ``times`` (its rows), ``marks`` (their number and their sums of each
+    0/1 label) and ``kind``, a key of both that documents with the same labels share."""
+    marked = docs.select("doc_id", F.concat(F.array(F.lit(1.0)), indicator(names)).alias("marks"))
+    sums = vector_sums(marked, ["doc_id"], "marks", len(names) + 1, extra=(F.count("*").alias("times"),))
+    return materialize(sums.select("*", _kind()), "doc-kinds")
+
+
+def carry_kinds(rows: DataFrame, docs: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` (of ``docs``, with further columns) with the ``kind`` of their document.
+
+    It follows from a row's own labels; only ids that occur more often are joined, by their measured size.
+    """
+    found = doc_kinds(docs, names)
+    repeated = materialize(found.where("times > 1").select("doc_id", F.col("kind").alias("_shared")), "repeated")
+    marks = F.concat(F.array(F.lit(1.0)), indicator(names)).alias("marks")
+    own = rows.select(*rows.columns, marks, F.lit(1).cast("bigint").alias("times"))
+    return own.join(repeated, "doc_id", "left").select(*rows.columns, F.coalesce("_shared", _kind()).alias("kind"))
+
+
 def multinomial_nb_folds(
     weights: DataFrame, docs: DataFrame, dictionary: DataFrame, names: list[str], alpha: float = 1.0
 ) -> DataFrame:
     """Each document scored by the multinomial naive Bayes of the other folds, all folds at once.
 
-    ``weights`` is ``(doc_id, fold, term_idx, weight)``, ``docs`` is ``(doc_id, fold, categories)``.
+    ``weights`` is ``(doc_id, fold, kind, term_idx, weight)``, ``kind`` from ``carry_kinds``;
+    ``docs`` is ``(doc_id, fold, categories)``.
     A fold's training sums of a term are the term's sums less those of the fold. A document
     only needs terms that its own fold holds, so the model has one row per fold and term there.
     """
     c = len(names)
     y = indicator(names)
     marked = docs.select("doc_id", "fold", y.alias("y"))
-    marks = F.concat(F.array(F.lit(1.0)), F.col("y")).alias("y")
-    joined = weights.where("weight > 0").select("doc_id", "term_idx", "weight").join(marked.select("doc_id", "fold", marks), "doc_id")
-    sums = materialize(vector_sums(joined, ["term_idx", "fold"], "y", c + 1, "weight"), "fold-terms")
+    ids = doc_kinds(docs, names)
+    kinds = materialize(ids.groupBy("kind").agg(F.first("times").alias("times"), F.first("marks").alias("y")), "kinds")
+    # As in a join on the document, a weight without one counts nowhere.
+    known = weights.where("weight > 0 AND doc_id IS NOT NULL")
+    by_kind = known.groupBy("term_idx", "fold", "kind").agg(F.sum("weight").alias("weight")).join(kinds, "kind")
+    counted = by_kind.withColumn("weight", F.col("weight") * F.col("times"))
+    sums = materialize(vector_sums(counted, ["term_idx", "fold"], "y", c + 1, "weight"), "fold-terms")
     whole = vector_sums(sums, ["term_idx"], "y", c + 1).withColumnRenamed("y", "all")
     rest = sums.join(whole, "term_idx").select(
         "term_idx", "fold", F.zip_with("all", "y", lambda a, b: F.greatest(a - b, F.lit(0.0))).alias("t")
@@ -127,15 +156,16 @@ def multinomial_nb_folds(
     )
     model = rest.select("term_idx", "fold", contrast.alias("s"))
     priors = _fold_totals(sums, marked, dictionary.count(), c, alpha)
-    test = weights.where("weight > 0").join(model, ["term_idx", "fold"])
-    known = vector_sums(test, ["doc_id"], "s", c, "weight", extra=(F.sum("weight").alias("mass"),))
-    rows = marked.join(known, "doc_id", "left").join(F.broadcast(priors), "fold").select(
+    # The model has one row a key, evenly dealt, so its share of a task is hashed and the weights need no sort.
+    test = known.select("doc_id", "term_idx", "fold", "weight").join(model.hint("shuffle_hash"), ["term_idx", "fold"])
+    evidence = vector_sums(test, ["doc_id"], "s", c, "weight", extra=(F.sum("weight").alias("mass"),))
+    rows = marked.join(evidence.join(ids.select("doc_id", "times"), "doc_id"), "doc_id", "left").join(F.broadcast(priors), "fold").select(
         "doc_id",
         "fold",
-        F.coalesce("mass", F.lit(0.0)).alias("mass"),
+        F.coalesce(F.col("mass") * F.col("times"), F.lit(0.0)).alias("mass"),
         F.arrays_zip(
             F.col("y").alias("label"),
-            F.coalesce("s", F.array_repeat(F.lit(0.0), c)).alias("s"),
+            F.coalesce(F.transform("s", lambda w: w * F.col("times")), F.array_repeat(F.lit(0.0), c)).alias("s"),
             "prior",
             "shift",
         ).alias("l"),

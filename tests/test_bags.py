@@ -3,6 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from presswork.functions import text as tx
 from presswork.operators import bags
 from presswork.operators.ranking import dense_index
 from presswork.sources import stages
@@ -128,3 +129,26 @@ def test_the_lexicon_queries_cut_each_text_once(spark, tmp_path, monkeypatch):
     bag = text_queries.bag_with_lexicon(spark, str(tmp_path)).collect()
     assert {(r["doc_id"], r["term"], r["tf"], r["doc_len"]) for r in bag} == {(str(i), w, 1, 2) for i in range(3) for w in ("red", "apple")}
     assert len(cuts) == 2
+
+
+def test_row_bags_equal_the_expressions(spark):
+    """Words are looked up in a task's table; the rules stay those of the column expressions."""
+    texts = [
+        "Ponies, pennies & EIES: the cats' glasses; bus bees shoes 3-D 2nd", "cannot Gimme gonna gotta lemme WANNA gonnas can-not",
+        "caf\u00e9 \ufb01sh \u2116 na\u00efve \u00bd \ud55c\u00a0word\x85other", "gimme\x1fgimmes gonna\x00dogs cannot\x1cstay\x0bstop\x0cend\r\nlast", "", None, "a an of",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id int, full_text string")
+    for stopwords in (None, (), ("gim", "dog")):
+        for stem, column in ((tx.plural_stem, lambda w: tx.plural_stem(w)), (None, lambda w: w)):
+            found = bags.wide_bags(df, stopwords=stopwords, stem=stem)
+            assert "ArrowEvalPython" in plan_of(found)
+            assert sorted(found.collect(), key=str) == sorted(bags.wide_bags(df, stopwords=stopwords, stem=column).collect(), key=str)
+
+
+def test_full_table_of_terms_starts_anew():
+    small = tx._Terms((), True)
+    small.LIMIT = 4
+    words = [b"cats", b"dog", b"a\x1fb", b"red\x1fcannot", b"cats", b"birds", b"red\x1fcannot"]
+    want = {"cat": 2, "dog": 1, "red\x1fcan": 2, "not": 2, "bird": 1, "a\x1fb": 1}
+    assert [dict(small.counts(words)) for _ in range(3)] == [want] * 3
+    assert len(small) <= 4 + len(set(words))
